@@ -55,6 +55,21 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % parts
 
 
-def row_field(name: str, df: DataFrame) -> Column:
-    """A top-level column by its literal name, dots and backticks included."""
-    return df["`" + name.replace("`", "``") + "`"]
+def about(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About ``rows`` rows of ``df``, or all if it has fewer: those whose key hashes low, so
+    the choice doesn't depend on how the rows lie."""
+    total = df.count()
+    return df if total <= rows else df.where(F.pmod(F.xxhash64(F.lit(17), *key), F.lit(1 << 30)) < int((1 << 30) * rows / total))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int) -> DataFrame:
+    """``(doc_id, text, label 0/1)`` of about ``rows`` documents labelled outside the held-out fold.
+
+    Null labels don't count, several labels of a document by majority (ties: 0), and of a
+    doc_id's rows only one is taken. The labels chosen are few, so they are broadcast.
+    """
+    own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out)
+    own = own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) > 0.5).cast("int").alias("label"))
+    own = about(own, rows, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return texts.join(F.broadcast(own), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")

@@ -12,18 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boughwork.llm.common import settle
-
-#: Bytes of a text to bytes of its normal form: a-z, 0-9 and bytes from 0x80 are parts of
-#: words, A-Z become a-z, everything else is a space.
-_NORMAL = bytes(
-    c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256)
-)
-
-
-def normal_words(text: str | None) -> list[bytes]:
-    """Words of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z."""
-    return (text or "").encode("utf-8").translate(_NORMAL).split()
-
+from boughwork.llm.words import NORMAL, normal_words
 
 def item_windows(text: str | None, size: int) -> set[bytes]:
     """All runs of ``size`` words; of fewer words, but not none, the one run of all."""
@@ -53,7 +42,7 @@ def _automaton(patterns: list[tuple[str, tuple[str, ...], int]]):
 def _spans(text: str, hit: np.ndarray) -> list[dict]:
     """Runs of hit words as [start, end) in code points of the original text."""
     data = text.encode("utf-8")
-    inside = np.frombuffer(data.translate(_NORMAL), np.uint8) != 0x20
+    inside = np.frombuffer(data.translate(NORMAL), np.uint8) != 0x20
     edge = np.diff(np.r_[0, inside.view(np.int8), 0])
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     points = np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)  # code points up to and with a byte

@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boughwork.llm import decontaminate, packing, simhash, token_files
-from boughwork.llm.common import table
+from boughwork.llm import decontaminate, packing, quality_fm, simhash, token_files, toxicity
+from boughwork.llm.common import fold, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    scored = toxicity.toxicity_scores(docs, labels, held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +35,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    scored = quality_fm.quality_scores(docs, labels, held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
