@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boughwork.llm import decontaminate, packing, quality_fm, simhash, token_files, toxicity
+from boughwork.llm import decontaminate, packing, quality_fm, quality_rules, simhash, token_files, toxicity, url_filter
 from boughwork.llm.common import fold, table
 
 
@@ -18,6 +18,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages")).drop("block_score")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(found["fp"]).alias("fingerprint"), "component_id")

@@ -1,4 +1,4 @@
-"""Toxicity by non-negative positive-unlabelled learning over hashed words."""
+"""Toxicity by non-negative positive-unlabelled learning over hashed words and word beginnings."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boughwork.llm.common import about, labelled
-from boughwork.llm.words import Adam, Rows, buckets, normal_words, sigmoid
+from boughwork.llm.words import Adam, Rows, normal_words, parts, sigmoid
 
 
 @dataclass
@@ -21,7 +21,7 @@ class Model:
     weights: np.ndarray  # one for each bucket
 
     def margin(self, text: str | None) -> float:
-        return self.bias + float(self.weights[buckets(self.bits).present(normal_words(text))].sum())
+        return self.bias + float(self.weights[parts(self.bits).present(normal_words(text))].sum())
 
 
 def non_negative_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, np.ndarray, np.ndarray]:
@@ -40,8 +40,8 @@ def non_negative_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float
     return as_positive + as_negative, prior * (p - 1) / len(p) + by_p, by_u
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, steps: int = 150, rate: float = 0.05, least_docs: int = 4, decay: float = 1e-4) -> Model:
-    """A linear model of the words present. Words of fewer than ``least_docs`` examples have no
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, steps: int = 120, rate: float = 0.06, least_docs: int = 8, decay: float = 3e-4) -> Model:
+    """A linear model of the words and word beginnings present. Those of fewer than ``least_docs`` examples have no
     weight; without positive or unlabelled examples every score is the prior."""
     bias = float(np.log(prior / (1 - prior)))
     weights = np.zeros(1 << bits)
@@ -68,13 +68,13 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 def _present(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [buckets(bits).present(normal_words(t)).astype("<i4").tobytes() for t in batch.column(0).to_pylist()]
+            found = [parts(bits).present(normal_words(t)).astype("<i4").tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["present"])
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_positive: int = 4000, max_unlabelled: int = 8000, bits: int = 18) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_positive: int = 2500, max_unlabelled: int = 6000, bits: int = 20) -> Model:
     """Fit on documents confirmed as 1 and on unlabelled text, both outside the held-out fold.
 
     The samples are bounded: about ``max_positive`` and ``max_unlabelled`` documents, of which

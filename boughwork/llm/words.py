@@ -35,11 +35,35 @@ class Buckets(dict):
         """Distinct buckets, ascending, and the words in each."""
         return np.unique(np.fromiter(map(self.__getitem__, words), np.int64, len(words)), return_counts=True)
 
+
+class Parts(dict):
+    """crc32 buckets of a word and of its first bytes, remembered like :class:`Buckets`."""
+
+    def __init__(self, bits: int, prefixes: tuple[int, ...] = (4, 5, 6, 8), max_words: int = 150_000):
+        super().__init__()
+        self._mask, self._prefixes, self._max = (1 << bits) - 1, prefixes, max_words
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= self._max:
+            self.clear()
+        starts = [word[:n] + b"\x00" for n in self._prefixes if len(word) >= n]
+        found = self[word] = tuple(zlib.crc32(x) & self._mask for x in (word, *starts))
+        return found
+
     def present(self, words: list[bytes]) -> np.ndarray:
-        distinct = {*map(self.__getitem__, words)}
+        """Distinct buckets of all words, in no order."""
+        distinct = set().union(*map(self.__getitem__, set(words)))
         return np.fromiter(distinct, np.int64, len(distinct))
 
 
+_parts: dict[int, Parts] = {}
+
+
+def parts(bits: int) -> Parts:
+    """This worker's parts of words; Python workers are reused between tasks."""
+    return _parts.setdefault(bits, Parts(bits))
+
+
 _buckets: dict[int, Buckets] = {}
 
 
