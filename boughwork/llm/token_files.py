@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boughwork.llm.common import scratch_path
+from boughwork.llm.common import scratch_path, settle
 from boughwork.llm.tokens import default_vocabulary, encoder
 
 _MAGIC = b"BPB1"
 _HEAD = struct.Struct("<4sBBHII")  # magic, bits or bytes, planes, 0, ids, crc32 of the ids
 
 
-def pack_block(ids: np.ndarray, bit_planes: bool = True, level: int = 3) -> bytes:
+def pack_block(ids: np.ndarray, bit_planes: bool = True, level: int = 1) -> bytes:
     """A block of unsigned 32-bit ids as planes, each compressed with zstandard on its own.
 
     Header, then the compressed length of each plane (unsigned 32-bit), then the planes,
@@ -165,6 +165,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         before += row["ids"]
     offset = spark.createDataFrame(offsets, "shard int, before long")
     parts = blocks.mapInArrow(_read, "shard int, doc_id long, start long, n_tokens long, ids_crc32 long, piece_at long, piece binary")
+    parts = settle(parts, "parts")  # each block is decoded once
     done = parts.where("piece is null").select("shard", "doc_id", "start", "n_tokens", "ids_crc32")
     pieces = F.transform(F.array_sort(F.collect_list(F.struct("piece_at", "piece"))), lambda x: x["piece"])
     crossing = parts.where("piece is not null").groupBy("shard", "start", "doc_id", "n_tokens").agg(pieces.alias("pieces"))

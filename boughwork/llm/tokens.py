@@ -45,13 +45,13 @@ class WordEncoder:
         """Ids of each word as it stands after a newline and ``joint``."""
         out: list[bytes] = []
         groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
-        mark = self._newline[0] if len(self._newline) == 1 else -1
+        mark = self._newline[0] if len(self._newline) == 1 else 0xFFFFFFFF
         for group, ids in zip(groups, self._raw([joint + f"\n{joint}".join(g) for g in groups])):
-            array = np.array(ids, "<u4")
-            cuts = np.flatnonzero(array == mark)
-            if len(cuts) == len(group) - 1:
-                edges = [0, *cuts.tolist(), len(array)]
-                out += [array[a + (i > 0) : b].tobytes() for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+            array = np.array([mark, *ids, mark], "<u4")
+            edges = (4 * np.flatnonzero(array == mark)).tolist()
+            if len(edges) == len(group) + 1:
+                data = array.tobytes()
+                out += [data[a + 4 : b] for a, b in zip(edges, edges[1:])]
             else:
                 out += [np.array(x, "<u4").tobytes() for x in self._raw([joint + w for w in group])]
         return out

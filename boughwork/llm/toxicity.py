@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boughwork.llm.common import about, labelled
+from boughwork.llm.common import labelled
 from boughwork.llm.words import Adam, Rows, normal_words, parts, sigmoid
 
 
@@ -40,7 +40,7 @@ def non_negative_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float
     return as_positive + as_negative, prior * (p - 1) / len(p) + by_p, by_u
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, steps: int = 120, rate: float = 0.06, least_docs: int = 8, decay: float = 3e-4) -> Model:
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, steps: int = 150, rate: float = 0.05, least_docs: int = 8, decay: float = 5e-4) -> Model:
     """A linear model of the words and word beginnings present. Those of fewer than ``least_docs`` examples have no
     weight; without positive or unlabelled examples every score is the prior."""
     bias = float(np.log(prior / (1 - prior)))
@@ -77,6 +77,9 @@ def _present(bits: int):
 def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_positive: int = 2500, max_unlabelled: int = 6000, bits: int = 20) -> Model:
     """Fit on documents confirmed as 1 and on unlabelled text, both outside the held-out fold.
 
+    The unlabelled text is that of the documents somebody looked at, whose labels are left
+    aside: the class prior holds for just these.
+
     The samples are bounded: about ``max_positive`` and ``max_unlabelled`` documents, of which
     only bucket numbers reach the driver. The class prior is the share of 1 among all labels
     outside the fold, kept within 0.001 and 0.5.
@@ -85,7 +88,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_
     share = labels.where(fold & F.col(label).isNotNull()).agg(F.avg(label)).first()[0]
     prior = float(min(0.5, max(0.001, share or 0.0)))
     toxic = labelled(docs, labels.where(F.col(label) == 1), label, held_out, max_positive)
-    other = about(docs.where(fold).select("doc_id", "text"), max_unlabelled, "doc_id")
+    other = labelled(docs, labels, label, held_out, max_unlabelled)  # the same documents, their labels unseen
 
     def collect(df: DataFrame) -> list[np.ndarray]:
         rows = df.select("text").mapInArrow(_present(bits), "present binary").collect()
