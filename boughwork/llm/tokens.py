@@ -9,24 +9,29 @@ any other run of white space is encoded whole. Both ways give the library's own
 from __future__ import annotations
 
 import os
+from itertools import filterfalse
 
 import numpy as np
 
-#: Characters that some engines count as white space and Python does not.
-_UNSURE = "\u180e\u200b\ufeff"
+#: Every character but space and newline that some engine counts as white space.
+_OTHER_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+_ASCII_SPACE = _OTHER_SPACE[:8]
 #: What may close a word; the rest of the word is looked up without it.
 _TAIL = ".,!?;:%&$*#|"
 #: Words that share one encoding call; fixed, so that no call grows with the input.
 _GROUP = 200
+#: Characters of the texts that are cut up at a time, so that their pieces stay few.
+_CHUNK = 1 << 20
 
 
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    ``max_words`` bounds the cache; a full cache is emptied, which costs time only.
+    ``max_words`` bounds the cache. It has two halves: what is looked up goes to the young
+    half, and once that is full it replaces the old one. A lost word costs time only.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -34,8 +39,9 @@ class WordEncoder:
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._newline = self._raw(["\n"])[0]
         self._newline_bytes = np.array(self._newline, "<u4").tobytes()
-        self._max_words = max_words
+        self._half = max_words // 2
         self._ids: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._starts: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
@@ -59,66 +65,91 @@ class WordEncoder:
     def _pieces(self, text: str) -> list[str] | None:
         """The text cut before each space or newline (a piece keeps its newline, not its
         space); None if white space does not stand alone or is of another kind."""
-        words = text.split()
-        gaps = text.count(" ") + text.count("\n")
-        if len(words) != gaps + 1 or len(text) - len("".join(words)) != gaps:
+        if any(x in text for x in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE)):
             return None
-        if not text.isascii() and any(x in text for x in _UNSURE):
-            return None
-        return text.replace("\n", " \n").split(" ") if "\n" in text else words
+        pieces = text.replace("\n", " \n").split(" ")
+        return None if "" in pieces or "\n" in pieces else pieces
 
     def _learn(self, wanted: set[str]) -> None:
-        """Ids for new pieces. What ends in marks of ``_TAIL`` after a letter is two pre-tokens."""
-        if len(self._ids) + len(wanted) > self._max_words:
-            self._ids.clear()
-        ids, stems, split = self._ids, {}, []
-        whole = []
-        for word in wanted:
+        """Ids for pieces the young half lacks. What ends in marks of ``_TAIL`` after a letter
+        is two pre-tokens."""
+        ids, old = self._ids, self._old
+        new: set[str] = set()
+        split = []
+
+        def lacks(word: str) -> bool:
+            if word in old:
+                ids[word] = old[word]
+            return word not in ids
+
+        for word in filter(lacks, wanted):
             stem = word.rstrip(_TAIL)
             if stem and stem != word and stem[-1].isalpha():
                 split.append((word, stem, word[len(stem) :]))
-                stems[stem] = None
+                if lacks(stem):
+                    new.add(stem)
             else:
-                whole.append(word)
-        new = [w for w in {*whole, *stems} if w not in ids]
+                new.add(word)
         spaced = [w for w in new if w[0] != "\n"]
         broken = [w for w in new if w[0] == "\n"]
         ids.update(zip(spaced, self._grouped(spaced, " ")))
         ids.update(zip(broken, (self._newline_bytes + x for x in self._grouped([w[1:] for w in broken], ""))))
-        tails = list({t for _, _, t in split} - self._starts.keys())
-        self._starts.update(zip(tails, self._grouped(tails, "")))
+        self._start({tail for _, _, tail in split})
         for word, stem, tail in split:
             ids[word] = ids[stem] + self._starts[tail]
 
+    def _start(self, words: set[str]) -> None:
+        """Ids for words with nothing before them."""
+        if len(self._starts) + len(words) > self._half:
+            self._starts = {}
+        new = [w for w in words if w not in self._starts]
+        self._starts.update(zip(new, self._grouped(new, "")))
+
+    def _cut(self, cut: list[list[str]]) -> list[bytes]:
+        """Ids of texts given as pieces."""
+
+        def missing() -> set[str]:
+            found: set[str] = set()
+            for pieces in cut:
+                found.update(filterfalse(self._ids.__contains__, pieces[1:]))
+            return found
+
+        wanted = missing()
+        if len(self._ids) + len(wanted) > self._half and self._ids:
+            self._old, self._ids = self._ids, {}
+            wanted = missing()
+        self._learn(wanted)
+        self._start({p[0] for p in cut})
+        get = self._ids.__getitem__
+        return [self._starts[p[0]] + b"".join(map(get, p[1:])) for p in cut]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null and empty texts have no ids."""
-        out: list[bytes | None] = [None] * len(texts)
-        whole: list[int] = []
-        cut: list[tuple[int, list[str]]] = []
-        wanted: set[str] = set()
+        out = [b""] * len(texts)
+        places: list[int] = []
+        cut: list[list[str]] = []
+        held = 0
+
+        def flush() -> None:
+            nonlocal places, cut, held
+            for i, ids in zip(places, self._cut(cut)):
+                out[i] = ids
+            places, cut, held = [], [], 0
+
         for i, text in enumerate(texts):
             if not text:
-                out[i] = b""
                 continue
             pieces = self._pieces(text)
             if pieces is None:
-                whole.append(i)
-            else:
-                cut.append((i, pieces))
-                wanted.update(pieces[1:])
-        if whole:
-            for i, ids in zip(whole, self._raw([texts[i] for i in whole])):
-                out[i] = np.array(ids, "<u4").tobytes()
-        if len(self._starts) + len(cut) > self._max_words:
-            self._starts.clear()
-        first = list({p[0] for _, p in cut} - self._starts.keys())
-        self._starts.update(zip(first, self._grouped(first, "")))
-        if not wanted <= self._ids.keys():
-            self._learn(wanted - self._ids.keys() if len(self._ids) + len(wanted) <= self._max_words else wanted)
-        get = self._ids.__getitem__
-        for i, pieces in cut:
-            out[i] = self._starts[pieces[0]] + b"".join(map(get, pieces[1:]))
-        return out  # type: ignore[return-value]
+                out[i] = np.array(self._raw([text])[0], "<u4").tobytes()
+                continue
+            places.append(i)
+            cut.append(pieces)
+            held += len(text)
+            if held >= _CHUNK:
+                flush()
+        flush()
+        return out
 
 
 _encoders: dict[str, WordEncoder] = {}
