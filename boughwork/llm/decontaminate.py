@@ -50,6 +50,23 @@ def _spans(text: str, hit: np.ndarray) -> list[dict]:
     return [{"start": int(points[starts[a]] - 1), "end": int(points[ends[b - 1] - 1])} for a, b in zip(runs[::2], runs[1::2])]
 
 
+def _matches(machine, patterns: list[tuple[str, tuple[str, ...], int]], words: list[bytes]) -> tuple[np.ndarray | None, set[str]]:
+    """Which words lie in an occurrence (None if there is none), and the ids of its items."""
+    found = list(machine.iter((b" " + b" ".join(words) + b" ").decode("latin-1"))) if machine is not None and words else []
+    if not found:
+        return None, set()
+    own: set[str] = set()
+    hit = np.zeros(len(words) + 1, np.int64)
+    # the space after word i stands at ends[i]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    for end, i in found:
+        last = int(np.searchsorted(ends, end))
+        hit[last - patterns[i][2] + 1] += 1
+        hit[last + 1] -= 1
+        own.update(patterns[i][1])
+    return np.cumsum(hit)[:-1] > 0, own
+
+
 _FOUND = "doc_id long, text_hash long, n_words long, runs array<struct<start:int,end:int>>, spans array<struct<start:int,end:int>>, items array<string>"
 
 
@@ -63,19 +80,9 @@ def _scan(patterns: list[tuple[str, tuple[str, ...], int]], only_hit: bool):
             counts, runs, spans, items = [], [], [], []
             for text in batch.column(2).to_pylist():
                 words = normal_words(text)
-                found = list(machine.iter((b" " + b" ".join(words) + b" ").decode("latin-1"))) if machine is not None and words else []
-                own: set[str] = set()
-                hit = np.zeros(len(words) + 1, np.int64)
-                # the space after word i stands at ends[i]
-                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) if found else None
-                for end, i in found:
-                    last = int(np.searchsorted(ends, end))
-                    hit[last - patterns[i][2] + 1] += 1
-                    hit[last + 1] -= 1
-                    own.update(patterns[i][1])
+                covered, own = _matches(machine, patterns, words)
                 counts.append(len(words))
-                if found:
-                    covered = np.cumsum(hit)[:-1] > 0
+                if covered is not None:
                     turns = np.flatnonzero(np.diff(np.r_[0, covered.view(np.int8), 0])).tolist()
                     runs.append([{"start": x, "end": y} for x, y in zip(turns[::2], turns[1::2])])
                     spans.append(_spans(text, covered))
@@ -100,6 +107,11 @@ def _patterns(benchmark: DataFrame, size: int) -> list[tuple[str, tuple[str, ...
     return [(f" {w.decode('latin-1')} ", tuple(sorted(ids)), w.count(b" ") + 1) for w, ids in sorted(owners.items())]
 
 
+def _parts(benchmark: DataFrame, max_bytes: int) -> int:
+    total = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(1, -(-int(total) // max_bytes))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_bytes: int = 16_000_000) -> DataFrame:
     """``(doc_id, n_words, n_hit, items, spans)`` for each row of ``docs`` (doc_id, text).
 
@@ -113,13 +125,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_byt
     more than ``max_bytes`` is dealt by item into parts of at most about that size, each with
     an automaton and a pass of its own, and the passes are merged by row.
     """
-    total = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-int(total) // max_bytes))
+    return _by_row(docs, benchmark, size, max_bytes).drop("text_hash")
+
+
+def _by_row(docs: DataFrame, benchmark: DataFrame, size: int, max_bytes: int) -> DataFrame:
+    """:func:`contamination` with each text's hash."""
+    parts = _parts(benchmark, max_bytes)
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     if parts == 1:
         found = rows.mapInArrow(_scan(_patterns(benchmark, size), False), _FOUND)
         n_hit = F.aggregate("runs", F.lit(0), lambda a, r: a + r["end"] - r["start"])
-        return found.select("doc_id", "n_words", n_hit.cast("long").alias("n_hit"), "items", "spans")
+        return found.select("doc_id", "text_hash", "n_words", n_hit.cast("long").alias("n_hit"), "items", "spans")
     base = rows.mapInArrow(_scan([], False), _FOUND).select("doc_id", "text_hash", "n_words")
     hits = None
     for part in range(parts):
@@ -137,6 +153,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_byt
     none = F.array().cast("array<string>")
     return base.join(merged, same, "left").select(
         base["doc_id"],
+        base["text_hash"],
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", none).alias("items"),
@@ -144,6 +161,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_byt
     )
 
 
+def _contaminated(n_hit, n_words):
+    """A twentieth of the words or more, of columns or of numbers."""
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
 def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
     """The digest of :func:`contamination`; contaminated: at least a twentieth of the words hit."""
     found = contamination(docs, benchmark, size)
@@ -153,11 +175,37 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = 13)
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        _contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
-    """``docs`` without the documents that :func:`contamination_report` calls contaminated."""
-    bad = contamination_report(docs, benchmark, size).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+def _clean(patterns: list[tuple[str, tuple[str, ...], int]], at_id: int, at_text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _automaton(patterns) if patterns else None
+
+        def stays(doc_id: object, text: str | None) -> bool:
+            words = normal_words(text)
+            covered, _ = _matches(machine, patterns, words)
+            return doc_id is None or covered is None or not _contaminated(int(covered.sum()), len(words))
+
+        for batch in batches:
+            kept = [stays(i, t) for i, t in zip(batch.column(at_id).to_pylist(), batch.column(at_text).to_pylist())]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return run
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_bytes: int = 16_000_000) -> DataFrame:
+    """``docs`` without the documents that :func:`contamination_report` calls contaminated.
+
+    All columns stay. With one automaton each row is judged where it lies; a benchmark over
+    ``max_bytes`` takes several passes, whose result is joined by row. Rows with a null doc_id
+    cannot be named in a report and stay.
+    """
+    if _parts(benchmark, max_bytes) == 1:
+        at = docs.columns.index
+        return docs.mapInArrow(_clean(_patterns(benchmark, size), at("doc_id"), at("text")), docs.schema)
+    bad = _by_row(docs, benchmark, size, max_bytes).where(_contaminated(F.col("n_hit"), F.col("n_words")))
+    bad = bad.select("doc_id", "text_hash").distinct()
+    same = (docs["doc_id"].cast("long") == bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["text_hash"])
+    return docs.join(bad, same, "left_anti")

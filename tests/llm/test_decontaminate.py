@@ -58,3 +58,13 @@ def test_report_spans_and_edges(spark):
     assert decontaminate.contamination_report(df, bench.limit(0)).where("n_hit > 0").count() == 0
     kept = decontaminate.drop_contaminated(df, bench)
     assert kept.columns == df.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "4", "6", "8", "None"]
+
+
+@pytest.mark.parametrize("max_bytes", [16_000_000, 20])
+def test_rows_of_one_id_are_judged_each_on_its_own(spark, max_bytes):
+    items = [(1, "short item"), (2, "another one"), (3, None)]
+    rows = [(1, "a short item"), (1, "clean"), (1, "a short item"), (2, None), (2, "another one here"), (3, ""), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_hit", F.lit(7)).withColumn("text_hash", F.lit(7))
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(items, "item_id long, text string"), max_bytes=max_bytes)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, "clean"), (2, None), (3, ""), (3, "")], key=str)
