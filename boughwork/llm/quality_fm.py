@@ -193,3 +193,23 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, label:
     """
     scored = score(docs, train(docs, labels, label, held_out), list(keep))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_low_quality(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", threshold: float = 0.7) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``, all columns as they were.
+
+    Rows are judged where they lie, each on its own, so null ids, repeated rows and columns
+    of any name are fine; an empty table gives no rows.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, held_out))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        for batch in batches:
+            for i in range(0, batch.num_rows, 200):
+                part = batch.slice(i, 200)
+                margins = own.margins(*own.rows(part.column(at).to_pylist(), [()] * part.num_rows))
+                yield part.filter(pa.array(sigmoid(margins) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

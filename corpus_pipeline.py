@@ -20,8 +20,7 @@ from boughwork.llm.common import fold, settle, table
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine rejects (score under 0.7) go."""
     held_out = fold(F.col("doc_id"), 4) == 2
-    scored = quality_fm.quality_scores(docs.withColumn("_row", F.struct(*docs.columns)), table(spark, sf_dir, "labels"), held_out, keep=["_row", "doc_id"])
-    return scored.where("predicted = 1").select("_row.*")
+    return quality_fm.drop_low_quality(docs, table(spark, sf_dir, "labels"), held_out)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
