@@ -47,7 +47,7 @@ class Bm25Index:
             return np.zeros(0, np.int64), np.zeros(0)
         owners = np.concatenate([self._owner[s] for s in spans])
         scores = np.bincount(owners, np.concatenate([self._weight[s] for s in spans]), self._size)
-        found = np.unique(owners)
+        found = np.flatnonzero(scores)  # every weight is above zero
         return found, scores[found]
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from itertools import filterfalse
+from operator import add
 
 import numpy as np
 
@@ -73,30 +74,33 @@ class WordEncoder:
     def _learn(self, wanted: set[str]) -> None:
         """Ids for pieces the young half lacks. What ends in marks of ``_TAIL`` after a letter
         is two pre-tokens."""
-        ids, old = self._ids, self._old
-        new: set[str] = set()
-        split = []
-
-        def lacks(word: str) -> bool:
-            if word in old:
-                ids[word] = old[word]
-            return word not in ids
-
-        for word in filter(lacks, wanted):
+        ids = self._ids
+        wanted = self._promoted(wanted)
+        stems: set[str] = set()
+        new, split, split_stems, tails = [], [], [], []
+        for word in wanted:
             stem = word.rstrip(_TAIL)
-            if stem and stem != word and stem[-1].isalpha():
-                split.append((word, stem, word[len(stem) :]))
-                if lacks(stem):
-                    new.add(stem)
+            if len(stem) < len(word) and stem and stem[-1].isalpha():
+                split.append(word)
+                split_stems.append(stem)
+                tails.append(word[len(stem) :])
             else:
-                new.add(word)
+                new.append(word)
+        stems.update(filterfalse(ids.__contains__, split_stems))
+        stems.difference_update(wanted)  # those are among the new words
+        new += self._promoted(stems)
         spaced = [w for w in new if w[0] != "\n"]
         broken = [w for w in new if w[0] == "\n"]
         ids.update(zip(spaced, self._grouped(spaced, " ")))
         ids.update(zip(broken, (self._newline_bytes + x for x in self._grouped([w[1:] for w in broken], ""))))
-        self._start({tail for _, _, tail in split})
-        for word, stem, tail in split:
-            ids[word] = ids[stem] + self._starts[tail]
+        self._start(set(tails))
+        ids.update(zip(split, map(add, map(ids.__getitem__, split_stems), map(self._starts.__getitem__, tails))))
+
+    def _promoted(self, words: set[str]) -> set[str]:
+        """Move those of the words that the old half has to the young one; the others."""
+        known = words & self._old.keys() if self._old else set()
+        self._ids.update(zip(known, map(self._old.__getitem__, known)))
+        return words - known
 
     def _start(self, words: set[str]) -> None:
         """Ids for words with nothing before them."""
@@ -107,21 +111,19 @@ class WordEncoder:
 
     def _cut(self, cut: list[list[str]]) -> list[bytes]:
         """Ids of texts given as pieces."""
-
-        def missing() -> set[str]:
-            found: set[str] = set()
-            for pieces in cut:
-                found.update(filterfalse(self._ids.__contains__, pieces[1:]))
-            return found
-
-        wanted = missing()
+        found = [list(map(self._ids.get, pieces)) for pieces in cut]
+        wanted: set[str] = set()
+        for pieces, own in zip(cut, found):
+            wanted.update([p for p, x in zip(pieces[1:], own[1:]) if x is None])
         if len(self._ids) + len(wanted) > self._half and self._ids:
             self._old, self._ids = self._ids, {}
-            wanted = missing()
         self._learn(wanted)
         self._start({p[0] for p in cut})
-        get = self._ids.__getitem__
-        return [self._starts[p[0]] + b"".join(map(get, p[1:])) for p in cut]
+        out = []
+        for pieces, own in zip(cut, found):
+            own[0] = self._starts[pieces[0]]
+            out.append(b"".join([self._ids[p] if x is None else x for p, x in zip(pieces, own)]))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null and empty texts have no ids."""
