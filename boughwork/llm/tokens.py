@@ -22,7 +22,7 @@ _TAIL = ".,!?;:%&$*#|"
 #: Words that share one encoding call; fixed, so that no call grows with the input.
 _GROUP = 200
 #: Characters of the texts that are cut up at a time, so that their pieces stay few.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17
 
 
 class WordEncoder:
@@ -32,7 +32,7 @@ class WordEncoder:
     half, and once that is full it replaces the old one. A lost word costs time only.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
