@@ -32,34 +32,40 @@ class Bm25Index:
         idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0)) if len(docs) else lengths
         self._weight = np.repeat(idf, df) * counts * (K1 + 1) / (counts + norm[self._owner])
-        # a document's own terms, heaviest first, are its query
-        by_doc = np.lexsort((own_terms, -self._weight, self._owner))
+        # a document's own terms are its query; those of a quarter of the documents or more lie in full rows
+        self._row = np.where(4 * df >= len(docs), np.cumsum(4 * df >= len(docs)) - 1, -1)
+        own_rows = np.repeat(self._row, df)
+        self._dense = np.zeros((int(self._row.max(initial=-1)) + 1, len(docs)))
+        self._dense[own_rows[own_rows >= 0], self._owner[own_rows >= 0]] = self._weight[own_rows >= 0]
+        by_doc = np.argsort(self._owner, kind="stable")
         self._query_terms = np.repeat(np.arange(len(self._terms)), df)[by_doc]
         self._query_starts = np.searchsorted(self._owner[by_doc], np.arange(len(docs) + 1))
         self._size = len(docs)
 
-    def neighbours(self, seed: int, query_terms: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) that share a query term with the seed."""
+    def neighbours(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, scores) that share a term with the seed, scored with all of its terms."""
         a, b = self._query_starts[seed : seed + 2]
-        chosen = self._query_terms[a : min(b, a + query_terms)]
-        spans = [slice(self._starts[t], self._ends[t]) for t in chosen]
-        if not spans:
-            return np.zeros(0, np.int64), np.zeros(0)
-        owners = np.concatenate([self._owner[s] for s in spans])
-        scores = np.bincount(owners, np.concatenate([self._weight[s] for s in spans]), self._size)
+        terms = self._query_terms[a:b]
+        rows = self._row[terms]
+        scores = self._dense[rows[rows >= 0]].sum(axis=0)
+        rare = terms[rows < 0]
+        if len(rare):
+            sizes = self._ends[rare] - self._starts[rare]
+            at = np.arange(sizes.sum()) + np.repeat(self._starts[rare] - np.cumsum(sizes) + sizes, sizes)
+            scores += np.bincount(self._owner[at], self._weight[at], self._size)
         found = np.flatnonzero(scores)  # every weight is above zero
         return found, scores[found]
 
 
-def retrieval_order(docs: list[np.ndarray], window: int, query_terms: int = 12) -> list[int]:
-    """All documents in packing order.
+def retrieval_order(docs: list[np.ndarray], window: int, marks: int = 0) -> list[int]:
+    """All documents in packing order; the last ``marks`` ids of each are no terms.
 
     The first unused document is a seed: its unused neighbours follow, best score first
     (ties: the earlier document), until the window is full. The window's last document, whose
     rest opens the next window, is the next seed. A seed whose neighbours are used up hands
     over to the first unused document.
     """
-    index = Bm25Index(docs)
+    index = Bm25Index([d[: len(d) - marks] for d in docs])
     free = np.ones(len(docs), bool)
     order: list[int] = []
     filled = first = 0
@@ -77,7 +83,7 @@ def retrieval_order(docs: list[np.ndarray], window: int, query_terms: int = 12)
             seed = first
             filled = take(seed)
         if filled < window:
-            found, scores = index.neighbours(seed, query_terms)
+            found, scores = index.neighbours(seed)
             unused = free[found]
             found, scores = found[unused], scores[unused]
             for i in found[np.lexsort((found, -scores))].tolist():
@@ -95,7 +101,7 @@ def retrieval_order(docs: list[np.ndarray], window: int, query_terms: int = 12)
 _FIELDS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]
 
 
-def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, query_terms: int, with_ids: bool):
+def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, with_ids: bool):
     fields = _FIELDS if with_ids else _FIELDS[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +142,7 @@ def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, query_terms
         def fill() -> pa.RecordBatch:
             nonlocal shard, held, left, left_ids
             rows: list[tuple] = []
-            for i in retrieval_order([ids for _, ids in shard], window, query_terms):
+            for i in retrieval_order([ids for _, ids in shard], window, marks=1):
                 doc_id, ids = shard[i]
                 left.append((doc_id, 0, len(ids), ids))
                 left_ids += len(ids)
@@ -165,13 +171,13 @@ def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, query_terms
     return run
 
 
-def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int = 1024, end_id: int = 0, shard_ids: int = 1_000_000, query_terms: int = 12, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int = 1024, end_id: int = 0, shard_ids: int = 1_000_000, with_ids: bool = False) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) in sequences of at most ``window`` (a power of two) ids.
 
     A document is its ids and ``end_id``; null and empty texts have that id alone. Each input
     partition is read once, in place, with no shuffle: documents gather to a shard of about
-    ``shard_ids`` ids, whose BM25 index (terms are token ids; a query is a document's
-    ``query_terms`` heaviest) orders them, and the order is cut into windows. A window that a
+    ``shard_ids`` ids, whose BM25 index (terms are token ids; a query is all terms of a
+    document, without ``end_id``) orders them, and the order is cut into windows. A window that a
     shard leaves open goes on with the next shard; a partition's last ids become sequences of
     powers of two, so no sequence needs padding. ``sequence_id`` is unique, ``offset`` gapless
     from 0. Null doc_ids and repeated rows are documents of their own; an empty table gives
@@ -181,4 +187,4 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int =
         raise ValueError("window must be a power of two")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_pack(vocabulary or default_vocabulary(), window, end_id, shard_ids, query_terms, with_ids), schema)
+    return rows.mapInArrow(_pack(vocabulary or default_vocabulary(), window, end_id, shard_ids, with_ids), schema)

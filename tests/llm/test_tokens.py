@@ -115,3 +115,39 @@ def test_neighbours_come_first():
     assert packing.retrieval_order(docs, 4)[:2] == [0, 2]
     assert sorted(packing.retrieval_order(docs, 3)) == list(range(5))
     assert packing.retrieval_order([], 8) == []
+
+
+def brute_bm25(docs, seed):
+    """Scores of all documents for all terms of the seed, term by term."""
+    mean = sum(map(len, docs)) / len(docs)
+    scores = [0.0] * len(docs)
+    for term in set(docs[seed].tolist()):
+        df = sum(term in d for d in docs)
+        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
+        for i, d in enumerate(docs):
+            tf = int((d == term).sum())
+            scores[i] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
+    return scores
+
+
+def test_all_terms_of_a_seed_count():
+    rng = np.random.default_rng(5)
+    docs = [np.minimum(rng.zipf(1.3, rng.integers(15, 60)), 400).astype("<u4") for _ in range(60)]
+    docs = [np.r_[d, 1000 + 20 * i + np.arange(15)].astype("<u4") for i, d in enumerate(docs)]  # 15 tokens of its own each
+    index = packing.Bm25Index(docs)
+    for seed in range(len(docs)):
+        found, scores = index.neighbours(seed)
+        want = np.array(brute_bm25(docs, seed))
+        assert found.tolist() == np.flatnonzero(want).tolist()
+        assert np.allclose(scores, want[found])
+    order = packing.retrieval_order(docs, 10**6)
+    want = brute_bm25(docs, 0)
+    assert order == [0, *sorted(range(1, 60), key=lambda i: (-round(want[i], 9), i))]
+
+
+def test_own_tokens_do_not_hide_neighbours():
+    own = lambda i: 1000 + 20 * i + np.arange(15)
+    docs = [np.r_[own(0), 1, 2, 3], np.r_[own(1), 4, 5], np.r_[own(2), 6, 7], np.r_[own(3), 1, 2, 3]]
+    docs = [np.r_[d, 0].astype("<u4") for d in docs]
+    assert packing.retrieval_order(docs, 1000, marks=1)[:2] == [0, 3]
+    assert packing.retrieval_order([np.r_[own(i), 1, 2, 3 + i].astype("<u4") for i in range(3)], 1000) == [0, 1, 2]
