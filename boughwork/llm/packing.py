@@ -4,22 +4,43 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boughwork.llm.common import settle
 from boughwork.llm.tokens import default_vocabulary, encoder
 
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
 
+#: Ids of a partition of the shuffle, about; and keys of a document there.
+_PARTITION_IDS, _KEYS = 4_000_000, 2
+
+
+@dataclass
+class Statistics:
+    """Of a whole corpus: documents, their mean length, and by term the documents that hold it."""
+
+    documents: int
+    mean: float
+    df: np.ndarray
+
+    def idf(self, terms: np.ndarray | slice = slice(None)) -> np.ndarray:
+        df = self.df[terms]
+        return np.log1p((self.documents - df + 0.5) / (df + 0.5))
+
+
 class Bm25Index:
-    """Inverted index of one shard: postings by term, weights as BM25 gives them."""
+    """Inverted index of one shard: postings by term, weights as BM25 gives them.
+
+    Without ``statistics`` the shard is the corpus."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None):
         lengths = np.array([len(d) for d in docs], np.float64)
         owner = np.repeat(np.arange(len(docs)), lengths.astype(np.int64))
         terms = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
@@ -29,8 +50,11 @@ class Bm25Index:
         self._terms, self._starts = np.unique(own_terms, return_index=True)
         self._ends = np.r_[self._starts[1:], len(pairs)]
         df = self._ends - self._starts
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0)) if len(docs) else lengths
+        if statistics:
+            idf, mean = statistics.idf(self._terms), statistics.mean
+        else:
+            idf, mean = Statistics(len(docs), 0.0, df).idf(), lengths.mean() if docs else 0.0
+        norm = K1 * (1 - B + B * lengths / max(mean, 1.0))
         self._weight = np.repeat(idf, df) * counts * (K1 + 1) / (counts + norm[self._owner])
         # a document's own terms are its query; those of a quarter of the documents or more lie in full rows
         self._row = np.where(4 * df >= len(docs), np.cumsum(4 * df >= len(docs)) - 1, -1)
@@ -57,7 +81,7 @@ class Bm25Index:
         return found, scores[found]
 
 
-def retrieval_order(docs: list[np.ndarray], window: int, marks: int = 0) -> list[int]:
+def retrieval_order(docs: list[np.ndarray], window: int, marks: int = 0, statistics: Statistics | None = None) -> list[int]:
     """All documents in packing order; the last ``marks`` ids of each are no terms.
 
     The first unused document is a seed: its unused neighbours follow, best score first
@@ -65,7 +89,7 @@ def retrieval_order(docs: list[np.ndarray], window: int, marks: int = 0) -> list
     rest opens the next window, is the next seed. A seed whose neighbours are used up hands
     over to the first unused document.
     """
-    index = Bm25Index([d[: len(d) - marks] for d in docs])
+    index = Bm25Index([d[: len(d) - marks] for d in docs], statistics)
     free = np.ones(len(docs), bool)
     order: list[int] = []
     filled = first = 0
@@ -101,14 +125,75 @@ def retrieval_order(docs: list[np.ndarray], window: int, marks: int = 0) -> list
 _FIELDS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]
 
 
-def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, with_ids: bool):
+def _encode(vocabulary: str):
+    """(doc_id, n, ids): ids of ``n`` numbers, of two bytes each where those are enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(vocabulary).encode
+        for batch in batches:
+            docs = [np.frombuffer(ids, "<u4") for ids in encode(batch.column(1).to_pylist())]
+            data = [d.astype("<u2" if d.max(initial=0) < 1 << 16 else "<u4").tobytes() for d in docs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, docs), pa.int64()), pa.array(data, pa.binary())], ["doc_id", "n", "ids"])
+
+    return run
+
+
+def _decode(n: int, data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}" if n else "<u4").astype("<u4")
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, df) of a partition's documents."""
+    df = np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            terms = np.unique(_decode(n, data))
+            if n and terms[-1] >= len(df):
+                df = np.r_[df, np.zeros(int(terms[-1]) + 1, np.int64)]
+            df[terms] += 1
+    terms = np.flatnonzero(df)
+    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(df[terms], pa.int64())], ["term", "df"])
+
+
+def corpus_statistics(encoded: DataFrame) -> Statistics:
+    """Of all rows of ``encoded`` (n, ids). The driver gets a row for each term of the vocabulary."""
+    documents, ids = encoded.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rows = encoded.select("n", "ids").mapInArrow(_count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    df = np.zeros(max((r["term"] for r in rows), default=0) + 1, np.int64)
+    df[[r["term"] for r in rows]] = [r["df"] for r in rows]
+    return Statistics(documents, ids / max(1, documents), df)
+
+
+def _keyed(held):
+    """Adds keys by which documents of like terms lie together. Two documents share a key with
+    a probability of their common idf over their joint idf (weighted min-hash, over the terms
+    that two documents or more hold); -1 if there is no such term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        draws = np.random.default_rng(17).exponential(size=(_KEYS, len(own.df))) / own.idf()
+        draws[:, own.df < 2] = np.inf
+        for batch in batches:
+            keys = np.full((_KEYS, batch.num_rows), -1, np.int64)
+            for i, (n, data) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                if n:
+                    terms = _decode(n, data)
+                    mine = draws[:, terms]
+                    best = mine.argmin(axis=1)
+                    keys[:, i] = np.where(np.isfinite(mine.min(axis=1)), terms[best], -1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], ["doc_id", "n", "ids", "at", *(f"key{k}" for k in range(_KEYS))])
+
+    return run
+
+
+def _pack(counted, window: int, end_id: int, shard_ids: int, with_ids: bool):
     fields = _FIELDS if with_ids else _FIELDS[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, base = encoder(vocabulary).encode, TaskContext.get().partitionId() << 40
-        end = np.array([end_id], "<u4").tobytes()
+        statistics, base = counted.value, TaskContext.get().partitionId() << 40
+        end = np.array([end_id], "<u4")
         shard: list[tuple[int | None, np.ndarray]] = []
         held = 0
         left: list[tuple[int | None, int, int, np.ndarray]] = []  # pieces that don't fill a window yet
@@ -142,7 +227,7 @@ def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, with_ids: b
         def fill() -> pa.RecordBatch:
             nonlocal shard, held, left, left_ids
             rows: list[tuple] = []
-            for i in retrieval_order([ids for _, ids in shard], window, marks=1):
+            for i in retrieval_order([ids for _, ids in shard], window, 1, statistics):
                 doc_id, ids = shard[i]
                 left.append((doc_id, 0, len(ids), ids))
                 left_ids += len(ids)
@@ -154,8 +239,8 @@ def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, with_ids: b
             return table(rows)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                shard.append((doc_id, np.frombuffer(ids + end, "<u4")))
+            for doc_id, n, data in zip(*(c.to_pylist() for c in batch.columns)):
+                shard.append((doc_id, np.concatenate([_decode(n, data), end])))
                 held += len(shard[-1][1])
                 if held >= shard_ids:
                     yield fill()
@@ -174,10 +259,14 @@ def _pack(vocabulary: str, window: int, end_id: int, shard_ids: int, with_ids: b
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int = 1024, end_id: int = 0, shard_ids: int = 1_000_000, with_ids: bool = False) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) in sequences of at most ``window`` (a power of two) ids.
 
-    A document is its ids and ``end_id``; null and empty texts have that id alone. Each input
-    partition is read once, in place, with no shuffle: documents gather to a shard of about
-    ``shard_ids`` ids, whose BM25 index (terms are token ids; a query is all terms of a
-    document, without ``end_id``) orders them, and the order is cut into windows. A window that a
+    A document is its ids and ``end_id``; null and empty texts have that id alone. The ids
+    are written once; document count, mean length and the documents of each term are counted
+    over all of them. A shuffle sorts documents by lexical keys (:func:`_keyed`), then by where
+    they lay, which parts even a group of like documents. Documents gather in this order to a
+    shard of about ``shard_ids`` ids, whose BM25 index (terms are token ids; a query is all
+    terms of a document, without ``end_id``; weights are those of the whole corpus) orders
+    them, and the order is cut into windows. Neighbours in another shard are not found: the
+    README has the measured recall. A window that a
     shard leaves open goes on with the next shard; a partition's last ids become sequences of
     powers of two, so no sequence needs padding. ``sequence_id`` is unique, ``offset`` gapless
     from 0. Null doc_ids and repeated rows are documents of their own; an empty table gives
@@ -187,4 +276,12 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int =
         raise ValueError("window must be a power of two")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_pack(vocabulary or default_vocabulary(), window, end_id, shard_ids, with_ids), schema)
+    encoded = settle(rows.mapInArrow(_encode(vocabulary or default_vocabulary()), "doc_id long, n long, ids binary"), "ids")
+    statistics = corpus_statistics(encoded)
+    held = docs.sparkSession.sparkContext.broadcast(statistics)
+    keys = [f"key{k}" for k in range(_KEYS)]
+    keyed = encoded.withColumn("at", F.monotonically_increasing_id())
+    keyed = keyed.mapInArrow(_keyed(held), "doc_id long, n long, ids binary, at long, " + ", ".join(f"{k} long" for k in keys))
+    parts = 1 + int(statistics.documents * (statistics.mean + 1)) // _PARTITION_IDS
+    dealt = keyed.repartitionByRange(parts, *keys, "at").sortWithinPartitions(*keys, "at")
+    return dealt.select("doc_id", "n", "ids").mapInArrow(_pack(held, window, end_id, shard_ids, with_ids), schema)

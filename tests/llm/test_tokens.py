@@ -151,3 +151,26 @@ def test_own_tokens_do_not_hide_neighbours():
     docs = [np.r_[d, 0].astype("<u4") for d in docs]
     assert packing.retrieval_order(docs, 1000, marks=1)[:2] == [0, 3]
     assert packing.retrieval_order([np.r_[own(i), 1, 2, 3 + i].astype("<u4") for i in range(3)], 1000) == [0, 1, 2]
+
+
+def test_statistics_and_neighbours_span_partitions(spark, plain):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    topics = [" ".join(rng.choices(words[8 * i : 8 * i + 8], k=40)) for i in range(50)]
+    rows = [(2 * i + j, topics[i]) for j in range(2) for i in range(50)]  # a text's copy lies 50 rows on
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(2, F.col("doc_id") % 2)
+    ids = [plain(t) for _, t in rows]
+    encoded = docs.mapInArrow(packing._encode(default_vocabulary()), "doc_id long, n long, ids binary")
+    found = packing.corpus_statistics(encoded)
+    df = np.bincount([x for d in ids for x in set(d)])
+    assert found.documents == 100 and found.mean == sum(map(len, ids)) / 100 and found.df.tolist() == df.tolist()
+    got = sorted(packing.pack_documents(docs, window=1 << 16).collect(), key=lambda r: (-r["length"] - r["offset"], r["sequence_id"]))
+    order = [r["doc_id"] for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
+    assert sum(abs(order.index(2 * i) - order.index(2 * i + 1)) == 1 for i in range(50)) >= 45
+    # both halves weigh a term alike: as the corpus does
+    half = packing.Bm25Index([np.array(d, "<u4") for d in ids[:50]], found)
+    whole = packing.Bm25Index([np.array(d, "<u4") for d in ids])
+    for seed in (0, 7):
+        places, scores = half.neighbours(seed)
+        more, wanted = whole.neighbours(seed)
+        assert np.allclose(scores, wanted[more < 50]) and places.tolist() == more[more < 50].tolist()
