@@ -25,15 +25,19 @@ from boughwork.llm.words import Adam, Rows, sigmoid
 
 # Names of HTML elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe svg math object xmp noframes".split())
+_RAW = frozenset("script style template textarea title iframe noframes".split())
+_FOREIGN = frozenset("svg math".split())  # these and what is in them may close themselves
+_HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())  # in svg and math
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+_HTML_ONLY = _CLOSES_P | _VOID | frozenset("b big body button center code dd dt em i iframe label li noscript object ruby s select small span strike strong sub sup tbody td template textarea tfoot th thead tr tt u var xmp".split())
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("article aside body div dl fieldset figure footer form header html li main nav ol section table tbody td th tr ul #root".split())
 _BAD_NAME = re.compile(r"(?:^|[^a-z])(nav|menu|sidebar|side|footer|foot|header|masthead|breadcrumbs?|ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|reply|replies|disqus|respond|login|signup|search|widget|pagination|pager|copyright|legal|toolbar|skip|tags?|meta)(?:$|[^a-z])")
 _GOOD_NAME = re.compile(r"(?:^|[^a-z])(article|content|post|entry|main|story|text|body|articlebody)(?:$|[^a-z])")
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z))", re.S)
+_UNQUOTED = re.compile(r"=\s*[^\s\"']+/\Z")  # a slash that ends a value closes nothing
 _ATTR = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -49,7 +53,8 @@ class Tree:
 
 def parse(page: str) -> Tree:
     """The elements of a page. Unclosed, misnested and cut-off markup is repaired as browsers
-    mostly do; comments, scripts, styles and other raw text leave no text behind."""
+    mostly do: an svg or math element left open ends where only HTML can go on. Comments,
+    scripts, styles and other raw text leave no text behind."""
     tree = Tree()
     stack, open_tags = [0], Counter(["#root"])
 
@@ -68,6 +73,14 @@ def parse(page: str) -> Tree:
             if tag in _SCOPE and not (tag in ("td", "th") and "tr" in kinds):
                 return None
 
+    def foreign() -> bool:
+        """Whether what comes next belongs to an svg or math element."""
+        if open_tags["svg"] or open_tags["math"]:
+            for i in reversed(stack):
+                if tree.tags[i] in _FOREIGN or tree.tags[i] in _HOLDS_HTML:
+                    return tree.tags[i] in _FOREIGN
+        return False
+
     at = 0
     while True:
         found = _TAG.search(page, at)
@@ -90,6 +103,10 @@ def parse(page: str) -> Tree:
                 if tag not in _INLINE or not any(tree.tags[i] in _SCOPE for i in stack[depth + 1 :]):
                     pop_to(depth)
             continue
+        if tag in _HTML_ONLY:
+            while foreign():
+                pop_to(len(stack) - 1)
+        inside = foreign()
         if tag in _CLOSES_P:
             close(("p",))
         if tag in _SAME:
@@ -99,7 +116,9 @@ def parse(page: str) -> Tree:
         tree.tags.append(tag)
         tree.names.append(names.lower())
         tree.parents.append(stack[-1])
-        if tag in _RAW:
+        if (inside or tag in _FOREIGN) and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+            continue
+        if tag in _RAW and not (inside and tag == "title"):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?|\Z", re.I).search(page, at)
             at = end.end()
         elif tag not in _VOID:

@@ -177,3 +177,20 @@ def test_extraction(spark, sf_dir):
     texts = [(r["page_id"], r["text"]) for r in html_extract.extract(rows).collect()]
     assert len(texts) == 7 and {1: "", 2: "", 4: "a & bc d e", 5: ""}.items() <= dict(texts).items()
     assert html_extract.extract(rows.limit(0)).count() == 0
+
+
+def test_svg_math_and_unclosed_elements_keep_the_article():
+    model = html_extract.fit(html_extract.labelled_pages())
+    words = "a long enough sentence of plain words about nothing at all, and some more of them for good measure"
+    icons = ['<svg class="icon"/>', "<math/>", '<svg viewBox="0 0 1 1"><path d="M0"/><g><title/></g></svg>', "<svg><path d='M0'>", "<math><mi>", "<svg>", "<math>", "<object data=x>", "<noscript>", "<svg><title>i</title><style/><g/>", "<svg><foreignObject><p>x"]
+    for icon in icons:
+        for page in (f"<html><body><header>{icon}</header><article><h1>Head</h1><p>{words}</p><p>{words}</p></article><footer>f</footer></body></html>", f"<html><body><article><h1>Head</h1>{icon}<p>{words}</p><p>{words}</p></article></body></html>"):
+            got = model.text(page)
+            assert got.startswith("Head") and got.count(words) == 2, (icon, page, got)
+    for tag in ("math", "object", "noscript", "xmp", "svg"):
+        page = f"<html><body><article><h1>Head</h1><p>{words}</p><p>{words} <{tag}>kept {words}</{tag}> tail</p></article></body></html>"
+        assert f"{words} kept {words} tail" in model.text(page), tag
+    for tag in ("script", "style", "template", "textarea", "iframe", "noframes"):
+        assert "lost" not in model.text(f"<article><p>{words}</p><{tag}/>lost</{tag}><p>{words}</p></article>")
+    tree = html_extract.parse("<svg a=x/><b>t</b></svg><svg><g/><g /><a href='y'/></svg>u")
+    assert tree.tags.count("g") == 2 and next(i for i, t in tree.texts if t == "u") == 0
