@@ -3,7 +3,7 @@
 Byte-level BPE never merges across its pre-token boundaries, and a boundary always lies
 before a single space or a single newline between two other characters. Such texts are cut
 there; each distinct piece is encoded once per worker and its ids are reused. A text with
-any other run of white space is encoded whole. Both ways give the library's own ids.
+any other run of white space, or with the string of an added token, is encoded whole. Both ways give the library's own ids.
 """
 
 from __future__ import annotations
@@ -30,14 +30,17 @@ class WordEncoder:
 
     ``max_words`` bounds the cache. It has two halves: what is looked up goes to the young
     half, and once that is full it replaces the old one. A lost word costs time only.
+    With ``added_tokens`` the string of an added token in a text is that token, as the library
+    has it by default; without, that of a special one is ordinary text.
     """
 
-    def __init__(self, path: str, max_words: int = 1_200_000):
+    def __init__(self, path: str, max_words: int = 1_200_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        self._tokenizer.encode_special_tokens = True  # but for texts that hold one of those
         self._newline = self._raw(["\n"])[0]
         self._newline_bytes = np.array(self._newline, "<u4").tobytes()
         self._half = max_words // 2
@@ -48,6 +51,12 @@ class WordEncoder:
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _as_loaded(self, text: str) -> list[int]:
+        self._tokenizer.encode_special_tokens = False
+        ids = self._raw([text])[0]
+        self._tokenizer.encode_special_tokens = True
+        return ids
+
     def _grouped(self, words: list[str], joint: str) -> list[bytes]:
         """Ids of each word as it stands after a newline and ``joint``."""
         out: list[bytes] = []
@@ -141,6 +150,9 @@ class WordEncoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
+            if any(x in text for x in self._added):
+                out[i] = np.array(self._as_loaded(text), "<u4").tobytes()
+                continue
             pieces = self._pieces(text)
             if pieces is None:
                 out[i] = np.array(self._raw([text])[0], "<u4").tobytes()
@@ -160,7 +172,7 @@ _encoders: dict[str, WordEncoder] = {}
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder for a vocabulary file; Python workers are reused between tasks."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(path, added_tokens=True)
     return _encoders[path]
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from boughwork.llm import packing, token_files
+from boughwork.llm import packing, token_files, tokens
 from boughwork.llm.tokens import WordEncoder, default_vocabulary
 
 
@@ -174,3 +174,17 @@ def test_statistics_and_neighbours_span_partitions(spark, plain):
         places, scores = half.neighbours(seed)
         more, wanted = whole.neighbours(seed)
         assert np.allclose(scores, wanted[more < 50]) and places.tolist() == more[more < 50].tolist()
+
+
+def test_operators_take_added_tokens_as_the_library_does(spark):
+    as_loaded = Tokenizer.from_file(default_vocabulary())
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["a", "b ", " ", "\n", "é", "<|", "|>", "<|endoftext|>"]) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "one\ntwo<|endoftext|><|endoftext|>three", "plain words"]
+    want = [as_loaded.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[500] == [64, 220, 50256, 275]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder(default_vocabulary()).encode(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    crcs = [(len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes())) for ids in want]
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in token_files.round_trip(docs).orderBy("doc_id").collect()] == crcs
+    assert {r["doc_id"]: r["doc_tokens"] for r in packing.pack_documents(docs).collect()} == {i: len(ids) + 1 for i, ids in enumerate(want)}
