@@ -46,11 +46,12 @@ def _fingerprint(words: list[bytes], shingle: int, hasher) -> int:
     return int(np.packbits(2 * bits > count, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, hashed: bool = False) -> DataFrame:
     """``(doc_id, fp long)`` of whole texts: A-Z lower-cased, words split at ASCII white space.
 
     Fewer words than ``shingle`` make one shingle of all of them; null, empty and blank texts
     have fingerprint zero. Repeated rows give repeated rows; other columns are ignored.
+    ``hashed`` adds ``text_hash``, which tells texts of one fingerprint apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,9 +60,10 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [_fingerprint((t or "").encode("utf-8").lower().split(), shingle, xxhash.xxh64_intdigest) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *["text_hash"] * hashed])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    own = [F.xxhash64("text").alias("text_hash")] * hashed
+    return docs.select(F.col("doc_id").cast("long"), "text", *own).mapInArrow(run, "doc_id long, fp long" + ", text_hash long" * hashed)
 
 
 def block_balls(blocks: int, radius: int) -> list[tuple[list[tuple[int, int]], int]]:
@@ -221,11 +223,16 @@ def as_hex(fp: Column) -> Column:
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 3) -> DataFrame:
     """Keep one row of each SimHash component: the one of its smallest doc_id, with all columns.
 
-    Repeated rows of one doc_id and text are one document, of which one row stays. Rows with a
+    Texts that share a doc_id are judged each on its own; of several in a component with its
+    smallest doc_id, the one of the smallest hash stays. Repeated rows of one doc_id and text are one document, of which one row stays. Rows with a
     null doc_id cannot be named and stay as they are.
     """
-    keep = simhash_components(docs.where("doc_id is not null"), shingle, radius, blocks)
-    keep = keep.where("doc_id = component_id").select(F.col("doc_id").cast("long").alias("_kept_id")).distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    kept = named.join(keep, named["doc_id"] == keep["_kept_id"], "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows = docs.where("doc_id is not null")
+    prints = fingerprints(rows, shingle, hashed=True)
+    least = settle(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")), "representatives")
+    nodes = connected_components(links(least.select("fp"), radius, blocks)).withColumnRenamed("node", "fp")
+    keep = least.join(nodes, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("row").alias("row"))
+    keep = keep.select(F.col("row.doc_id").alias("_kept_id"), F.col("row.text_hash").alias("_kept_hash"))
+    named = rows.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
+    kept = named.join(keep, (named["doc_id"] == keep["_kept_id"]) & (named["_text_hash"] == keep["_kept_hash"]), "left_semi")
+    return kept.drop("_text_hash").unionByName(docs.where("doc_id is null"))
