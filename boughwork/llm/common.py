@@ -51,25 +51,34 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def fold(key: Column, parts: int) -> Column:
-    """``crc32`` of the key as text, modulo ``parts``: a stable train / held-out split."""
-    return F.crc32(key.cast("string").cast("binary")) % parts
+    """``crc32`` of the key as text, modulo ``parts``: a stable train / held-out split; -1 for
+    a null key, which so is never held out."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts, F.lit(-1))
 
 
-def about(df: DataFrame, rows: int, *key: str) -> DataFrame:
-    """About ``rows`` rows of ``df``, or all if it has fewer: those whose key hashes low, so
-    the choice doesn't depend on how the rows lie."""
-    total = df.count()
-    return df if total <= rows else df.where(F.pmod(F.xxhash64(F.lit(17), *key), F.lit(1 << 30)) < int((1 << 30) * rows / total))
+def low(rows: int, total: int, *key: str) -> Column:
+    """Whether a row is among about ``rows`` of ``total`` whose key hashes low, so the choice
+    doesn't depend on how the rows lie; always, if there are no more."""
+    return F.lit(True) if total <= rows else F.pmod(F.xxhash64(F.lit(17), *key), F.lit(1 << 30)) < int((1 << 30) * rows / total)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int) -> DataFrame:
-    """``(doc_id, text, label 0/1)`` of about ``rows`` documents labelled outside the held-out fold.
-
-    Null labels don't count, several labels of a document by majority (ties: 0), and of a
-    doc_id's rows only one is taken. The labels chosen are few, so they are broadcast.
-    """
+def votes(labels: DataFrame, label: str, held_out: Column) -> DataFrame:
+    """``(doc_id, label 0/1)`` outside the held-out fold, written down: null labels and ids
+    don't count, several labels of a document by majority (ties: 0)."""
     own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out)
-    own = own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) > 0.5).cast("int").alias("label"))
-    own = about(own, rows, "doc_id")
+    return settle(own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) > 0.5).cast("int").alias("label")), "votes")
+
+
+def one_text(rows: DataFrame, *keep: str) -> DataFrame:
+    """A row for each doc_id, with its text, of several that of the smallest hash; ``keep``
+    are columns that depend on doc_id alone."""
+    return rows.groupBy("doc_id", *keep).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int) -> DataFrame:
+    """``(doc_id, text, label 0/1)`` of about ``rows`` documents labelled outside the held-out
+    fold. The labels chosen are few, so they are broadcast."""
+    own = votes(labels, label, held_out)
+    own = own.where(low(rows, own.count(), "doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return texts.join(F.broadcast(own), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    return one_text(texts.join(F.broadcast(own), "doc_id"), "label").select("doc_id", "text", "label")

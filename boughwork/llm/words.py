@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 
@@ -37,7 +39,8 @@ class Buckets(dict):
 
 
 class Parts(dict):
-    """crc32 buckets of a word and of its first bytes, remembered like :class:`Buckets`."""
+    """crc32 buckets of a word and, in a range of their own above those of words, of its first
+    bytes; remembered like :class:`Buckets`."""
 
     def __init__(self, bits: int, prefixes: tuple[int, ...] = (4, 5, 6, 8), max_words: int = 150_000):
         super().__init__()
@@ -46,14 +49,19 @@ class Parts(dict):
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self._max:
             self.clear()
-        starts = [word[:n] + b"\x00" for n in self._prefixes if len(word) >= n]
-        found = self[word] = tuple(zlib.crc32(x) & self._mask for x in (word, *starts))
+        starts = {zlib.crc32(word[:n]) & self._mask for n in self._prefixes if len(word) >= n}
+        found = self[word] = (zlib.crc32(word) & self._mask, *(x + self._mask + 1 for x in starts))
         return found
 
-    def present(self, words: list[bytes]) -> np.ndarray:
-        """Distinct buckets of all words, in no order."""
-        distinct = set().union(*map(self.__getitem__, set(words)))
-        return np.fromiter(distinct, np.int64, len(distinct))
+    def counts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct buckets of all words, ascending, and the words in each."""
+        own = Counter(words)
+        found = list(map(self.__getitem__, own))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        every = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        column, at = np.unique(every, return_inverse=True)
+        times = np.repeat(np.fromiter(own.values(), np.int64, len(own)), sizes)
+        return column, np.bincount(at, times, len(column))
 
 
 _parts: dict[int, Parts] = {}
@@ -77,20 +85,23 @@ class Rows:
 
     def __init__(self, columns: list[np.ndarray], values: list[np.ndarray] | None = None):
         self.sizes = np.array([len(c) for c in columns], np.int64)
-        self.starts = np.r_[0, np.cumsum(self.sizes)]
-        self.column = np.concatenate([*columns, np.zeros(0, np.int64)]).astype(np.int64)
-        self.value = np.concatenate([*values, np.zeros(0)]).astype(np.float64) if values is not None else np.ones(len(self.column))
-        self.row = np.repeat(np.arange(len(columns)), self.sizes)
+        self.column = np.concatenate([*columns, np.zeros(0, np.int64)]).astype(np.int64, copy=False)
+        self.value = np.concatenate([*values, np.zeros(0, np.float32)]).astype(np.float32, copy=False) if values is not None else np.ones(len(self.column), np.float32)
+        self._full = np.flatnonzero(self.sizes)  # rows with entries
+        self._starts = (np.cumsum(self.sizes) - self.sizes)[self._full]
 
     def __len__(self) -> int:
         return len(self.sizes)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * weights[self.column], len(self))
+        out = np.zeros(len(self))
+        if len(self.column):
+            out[self._full] = np.add.reduceat(self.value * weights[self.column], self._starts)
+        return out
 
     def back(self, by_row: np.ndarray, size: int) -> np.ndarray:
         """The transposed product: a sum for each column."""
-        return np.bincount(self.column, self.value * by_row[self.row], size)
+        return np.bincount(self.column, self.value * np.repeat(by_row, self.sizes), size)
 
 
 class Adam:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boughwork.llm import html_extract, quality_fm, quality_rules, queries, secret_scan, toxicity, url_filter
-from boughwork.llm.common import fold
+from boughwork.llm.common import fold, labelled
 
 EDGES = [(1, ""), (2, None), (3, " \n\t "), (None, "some text here"), (4, "same row"), (4, "same row"), (5, "long word " * 20000)]
 
@@ -37,6 +37,22 @@ def test_held_out_accuracy(spark, name, label, least):
     assert auc([(r["score"], known[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in known]) >= least
 
 
+def test_toxicity_at_the_threshold(spark):
+    """Recall and clean documents left alone at 0.5, on the held-out fold, in all and by language."""
+    sf_dir = "/root/testdata/sf0.1"
+    known = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = [r for r in queries.op1_toxicity(spark, sf_dir).collect() if r["held_out"] and r["doc_id"] in known]
+
+    def share(label, of):
+        own = [r["predicted"] == label for r in of if known[r["doc_id"]] == label]
+        return sum(own) / len(own)
+
+    assert share(1, rows) >= 0.85 and share(0, rows) >= 0.97
+    for one in set(lang.values()):
+        assert share(1, [r for r in rows if lang[r["doc_id"]] == one]) >= 0.65
+
+
 def test_classifiers_take_edge_cases(spark, edges, labels):
     for module in (toxicity.toxicity_scores, quality_fm.quality_scores):
         for table in (edges, edges.limit(0)):
@@ -45,6 +61,16 @@ def test_classifiers_take_edge_cases(spark, edges, labels):
                 assert len(got) == table.count() and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_majority_of_labels_and_smallest_text_train(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (2, "c"), (3, "d"), (None, "e")], "doc_id long, text string")
+    known = spark.createDataFrame([(1, 1), (1, 0), (1, 0), (2, 1), (2, 1), (2, 0), (3, None), (None, 1), (9, 1)], "doc_id long, toxic int")
+    rows = labelled(docs, known, "toxic", F.lit(False), 100).collect()
+    first = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).first()["text"]
+    assert sorted((r["doc_id"], r["text"], r["label"]) for r in rows if r["doc_id"] == 1) == [(1, first, 0)]
+    assert [r["label"] for r in rows if r["doc_id"] == 2] == [1] and len(rows) == 2
+    assert docs.select(fold(F.col("doc_id"), 5).alias("f")).where("f = -1").count() == 1
+
+
 def test_non_negative_risk_turns_when_negative():
     p, u = np.array([2.0, 3.0]), np.array([-9.0, -9.0])
     risk, by_p, by_u = toxicity.non_negative_risk(p, u, 0.5)
