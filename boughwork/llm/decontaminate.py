@@ -8,12 +8,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boughwork.llm.common import settle
 from boughwork.llm.words import NORMAL, normal_words
 
+
 def item_windows(text: str | None, size: int) -> set[bytes]:
     """All runs of ``size`` words; of fewer words, but not none, the one run of all."""
     words = normal_words(text)
@@ -107,12 +108,13 @@ def _patterns(benchmark: DataFrame, size: int) -> list[tuple[str, tuple[str, ...
     return [(f" {w.decode('latin-1')} ", tuple(sorted(ids)), w.count(b" ") + 1) for w, ids in sorted(owners.items())]
 
 
-def _parts(benchmark: DataFrame, max_bytes: int) -> int:
+def _parts(benchmark: DataFrame, size: int, max_bytes: int) -> int:
+    """Parts by the bytes of windows, of which each byte of text gives ``size`` at most."""
     total = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    return max(1, -(-int(total) // max_bytes))
+    return max(1, -(-int(total) * size // max_bytes))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_bytes: int = 16_000_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_bytes: int = 8_000_000) -> DataFrame:
     """``(doc_id, n_words, n_hit, items, spans)`` for each row of ``docs`` (doc_id, text).
 
     ``n_hit`` counts the words inside any occurrence of a window of ``size`` words of a
@@ -121,16 +123,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_byt
     have no words; an empty benchmark hits nothing; repeated rows come back as often as they
     came; an item with a null id counts under the empty id. Overlapping and shared windows count once.
 
-    The automaton goes to every task, so its size is checked: a benchmark whose texts take
-    more than ``max_bytes`` is dealt by item into parts of at most about that size, each with
-    an automaton and a pass of its own, and the passes are merged by row.
+    The automaton goes to every task, so its size is checked: a benchmark whose windows take
+    more than ``max_bytes`` (an automaton has about 50 bytes for each) is dealt by item into
+    parts of at most about that size, each with an automaton and a pass of its own, and the
+    passes' runs of hit words are merged by row. The result is the same for any number of parts.
     """
     return _by_row(docs, benchmark, size, max_bytes).drop("text_hash")
 
 
 def _by_row(docs: DataFrame, benchmark: DataFrame, size: int, max_bytes: int) -> DataFrame:
     """:func:`contamination` with each text's hash."""
-    parts = _parts(benchmark, max_bytes)
+    parts = _parts(benchmark, size, max_bytes)
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     if parts == 1:
         found = rows.mapInArrow(_scan(_patterns(benchmark, size), False), _FOUND)
@@ -143,12 +146,18 @@ def _by_row(docs: DataFrame, benchmark: DataFrame, size: int, max_bytes: int) ->
         one = rows.mapInArrow(_scan(_patterns(share, size), True), _FOUND).drop("n_words")
         one = settle(one, "hits").dropDuplicates(["doc_id", "text_hash"])  # equal rows have equal hits
         hits = one if hits is None else hits.unionByName(one)
-    word_numbers = F.transform(F.flatten(F.collect_list("runs")), lambda r: F.sequence(r["start"], r["end"] - 1))
-    merged = hits.groupBy("doc_id", "text_hash").agg(
-        F.size(F.array_distinct(F.flatten(word_numbers))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
+    row = ("doc_id", "text_hash")
+    items = hits.groupBy(*row).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # runs of words and their spans lie alike, so what overlaps or touches among the runs is one span
+    runs = hits.select(*row, F.explode(F.arrays_zip("runs", "spans")).alias("r")).select(*row, "r.runs.*", F.col("r.spans.start").alias("span_start"), F.col("r.spans.end").alias("span_end"))
+    by_row = Window.partitionBy(*row).orderBy("start")
+    upto = F.max("end").over(by_row.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("_new", (upto.isNull() | (F.col("start") > upto)).cast("long"))
+    joined = runs.withColumn("run", F.sum("_new").over(by_row.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*row, "run").agg(
+        (F.max("end") - F.min("start")).alias("n"), F.struct(F.min("span_start").alias("start"), F.max("span_end").alias("end")).alias("span")
     )
+    spans = joined.groupBy(*row).agg(F.sum("n").alias("n_hit"), F.array_sort(F.collect_list("span")).alias("spans"))
+    merged = items.join(spans, (items["doc_id"].eqNullSafe(spans["doc_id"])) & (items["text_hash"] == spans["text_hash"])).select(items["doc_id"], items["text_hash"], "items", "n_hit", "spans")
     same = base["doc_id"].eqNullSafe(merged["doc_id"]) & (base["text_hash"] == merged["text_hash"])
     none = F.array().cast("array<string>")
     return base.join(merged, same, "left").select(
@@ -179,33 +188,31 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = 13)
     )
 
 
-def _clean(patterns: list[tuple[str, tuple[str, ...], int]], at_id: int, at_text: int):
+def _clean(patterns: list[tuple[str, tuple[str, ...], int]], at_text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(patterns) if patterns else None
 
-        def stays(doc_id: object, text: str | None) -> bool:
+        def stays(text: str | None) -> bool:
             words = normal_words(text)
             covered, _ = _matches(machine, patterns, words)
-            return doc_id is None or covered is None or not _contaminated(int(covered.sum()), len(words))
+            return covered is None or not _contaminated(int(covered.sum()), len(words))
 
         for batch in batches:
-            kept = [stays(i, t) for i, t in zip(batch.column(at_id).to_pylist(), batch.column(at_text).to_pylist())]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            yield batch.filter(pa.array([stays(t) for t in batch.column(at_text).to_pylist()], pa.bool_()))
 
     return run
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_bytes: int = 16_000_000) -> DataFrame:
-    """``docs`` without the documents that :func:`contamination_report` calls contaminated.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_bytes: int = 8_000_000) -> DataFrame:
+    """``docs`` without the rows that :func:`contamination_report` calls contaminated.
 
-    All columns stay. With one automaton each row is judged where it lies; a benchmark over
-    ``max_bytes`` takes several passes, whose result is joined by row. Rows with a null doc_id
-    cannot be named in a report and stay.
+    All columns stay; each row is judged by its own text, those with a null doc_id too. With
+    one automaton that is done where the row lies; a benchmark with windows over ``max_bytes``
+    takes several passes, whose result is joined by row.
     """
-    if _parts(benchmark, max_bytes) == 1:
-        at = docs.columns.index
-        return docs.mapInArrow(_clean(_patterns(benchmark, size), at("doc_id"), at("text")), docs.schema)
+    if _parts(benchmark, size, max_bytes) == 1:
+        return docs.mapInArrow(_clean(_patterns(benchmark, size), docs.columns.index("text")), docs.schema)
     bad = _by_row(docs, benchmark, size, max_bytes).where(_contaminated(F.col("n_hit"), F.col("n_words")))
     bad = bad.select("doc_id", "text_hash").distinct()
-    same = (docs["doc_id"].cast("long") == bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["text_hash"])
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["text_hash"])
     return docs.join(bad, same, "left_anti")

@@ -224,15 +224,16 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blo
     """Keep one row of each SimHash component: the one of its smallest doc_id, with all columns.
 
     Texts that share a doc_id are judged each on its own; of several in a component with its
-    smallest doc_id, the one of the smallest hash stays. Repeated rows of one doc_id and text are one document, of which one row stays. Rows with a
-    null doc_id cannot be named and stay as they are.
+    smallest doc_id, the one of the smallest hash stays. Null ids come after all others, so a
+    row without an id stays only where no row of its component has one. Rows of one doc_id
+    (or of none) and one text are one document, of which one row stays.
     """
-    rows = docs.where("doc_id is not null")
-    prints = fingerprints(rows, shingle, hashed=True)
-    least = settle(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")), "representatives")
+    first = (F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    prints = fingerprints(docs, shingle, hashed=True)
+    least = settle(prints.groupBy("fp").agg(F.min(F.struct(*first)).alias("row")), "representatives")
     nodes = connected_components(links(least.select("fp"), radius, blocks)).withColumnRenamed("node", "fp")
     keep = least.join(nodes, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("row").alias("row"))
     keep = keep.select(F.col("row.doc_id").alias("_kept_id"), F.col("row.text_hash").alias("_kept_hash"))
-    named = rows.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    kept = named.join(keep, (named["doc_id"] == keep["_kept_id"]) & (named["_text_hash"] == keep["_kept_hash"]), "left_semi")
-    return kept.drop("_text_hash").unionByName(docs.where("doc_id is null"))
+    named = docs.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
+    same = named["doc_id"].cast("long").eqNullSafe(keep["_kept_id"]) & (named["_text_hash"] == keep["_kept_hash"])
+    return named.join(keep, same, "left_semi").drop("_text_hash")
