@@ -47,70 +47,71 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULE
 
 
 # What the built-in labelled urls are made of.
-_BAD = "casino bets bet poker slots adult xxx porn sexy escort spam farm pills pharma viagra loan payday win winner free prize lottery replica cheap warez crack keygen torrent click traffic bonus jackpot gamble nude cams tracker".split()
-_GOOD = "news docs wiki library museum school university health city travel garden recipe music science journal archive forum shop store weather sport history photo design studio research open data code dev blog help support media press".split()
 _SYLLABLES = "ba ren tor li mon the sha tion er ing est ar vo ki du pel gra nos ter am".split()
+_USUAL_SUFFIXES = "com com com com org org net net edu gov de fr es co.uk io".split()
+_CHEAP_SUFFIXES = "top xyz click info biz win loan work icu online site club".split()
 
 
-def labelled_urls(count: int = 800, seed: int = 11) -> list[tuple[str, int]]:
-    """``(url, 1 to block)``: addresses made from word lists, half of each kind; the allowed
-    half has invented host names too, so that an unknown name alone means nothing."""
+def labelled_urls(count: int = 2000, seed: int = 11, syllables: Sequence[str] = _SYLLABLES) -> list[tuple[str, int]]:
+    """``(url, 1 to block)``, half of each kind. Names of both kinds are made of the same
+    syllables, so no word tells them apart: what does is the form that link farms, trackers
+    and dubious shops give their addresses (joined names, digits, cheap suffixes, deep paths,
+    long parameters), each trait in a part of them and now and then in the others too."""
     rng = random.Random(seed)
+
+    def name(a: int, b: int) -> str:
+        return "".join(rng.choices(syllables, k=rng.randint(a, b)))
+
+    def noise(n: int) -> str:
+        return "".join(rng.choices(_LOWER + "0123456789", k=n))
+
     out = []
     for i in range(count):
         bad = i % 2
-        if bad:
-            names = rng.sample(_BAD, rng.choice((1, 2, 2))) + ([rng.choice(_SYLLABLES)] if rng.random() < 0.3 else [])
-            name = rng.choice("-- -").strip().join(names) + (str(rng.randrange(1000)) if rng.random() < 0.2 else "")
-        elif rng.random() < 0.35:
-            name = rng.choice(("-", "")).join(rng.sample(_GOOD, rng.choice((1, 2))))
-        else:
-            name = "".join(rng.choices(_SYLLABLES, k=rng.randint(2, 4)))
-        host = rng.choice(("", "", "www.", "blog.", "m.")) + name + "." + rng.choice(("example.", "")) + rng.choice(("com", "org", "net", "com", "io"))
-        path = "/" + "/".join(rng.choice(("en", "de", "fr", "es", "a", "page", str(rng.randrange(999)))) for _ in range(rng.randint(0, 3)))
-        path += rng.choice(("", "/", ".html"))
-        tail = rng.choice(("", "", "?page=2&ref=x", "?utm_source=feed", "#top"))
-        if bad and rng.random() < 0.25:
-            tail = "?" + "&".join(f"{rng.choice(_SYLLABLES)}{rng.randrange(99)}={rng.randrange(10**6)}" for _ in range(rng.randint(2, 5)))
-        out.append((f"{rng.choice(('http', 'https'))}://{host}{path}{tail}", bad))
+        trait = [rng.random() < (share if bad else 0.03) for share in (0.6, 0.3, 0.4, 0.2, 0.3)]
+        joined, digits, cheap, scrambled, long_tail = trait
+        if bad and not any(trait):
+            joined = True
+        host = "-".join(name(1, 3) for _ in range(rng.choice((2, 2, 2, 3, 4)))) if joined else noise(rng.randint(10, 22)) if scrambled else name(2, 4)
+        host += str(rng.randrange(10000)) if digits else ""
+        host = rng.choice(("", "", "www.", "blog.", "m.", "")) + host + "." + rng.choice(("", "", name(2, 3) + "."))
+        host += rng.choice(_CHEAP_SUFFIXES if cheap else _USUAL_SUFFIXES)
+        steps = [rng.choice((name(1, 3), "en", "de", "page", str(rng.randrange(100_000)), f"{name(1, 2)}-{name(1, 2)}")) for _ in range(rng.randint(0, 4))]
+        if long_tail and rng.random() < 0.5:
+            steps += [noise(rng.randint(6, 16)) for _ in range(rng.randint(2, 6))]
+        tail = rng.choice(("", "", "", "?page=2&ref=x", "?utm_source=feed", "#top", "?id=" + str(rng.randrange(10**5))))
+        if long_tail:
+            tail = "?" + "&".join(f"{name(1, 1)}{rng.randrange(99)}={noise(rng.randint(4, 20))}" for _ in range(rng.randint(2, 7)))
+        out.append((f"{rng.choice(('http', 'https'))}://{host}/{'/'.join(steps)}{rng.choice(('', '/', '.html'))}{tail}", bad))
     return out
 
 
-def _tokens(url: str) -> set[str]:
-    host = url.partition("://")[2].partition("/")[0].partition("?")[0].partition("#")[0].lower()
-    return {x for label in host.split(".") for x in label.replace("_", "-").split("-") if x}
-
-
-def host_statistics(labelled: Sequence[tuple[str, int]], least: int = 3) -> tuple[dict[str, float], dict[str, float]]:
-    """Smoothed log odds of blocking by host word, for words seen ``least`` times, and by suffix."""
-    bad, words, suffix_bad, suffixes = Counter(), Counter(), Counter(), Counter()
+def suffix_statistics(labelled: Sequence[tuple[str, int]]) -> tuple[dict[str, float], dict[str, float]]:
+    """By suffix (the host's last label): smoothed log odds of blocking, and the share of urls."""
+    bad, every = Counter(), Counter()
     for url, label in labelled:
-        for token in _tokens(url):
-            words[token] += 1
-            bad[token] += label
         suffix = url.partition("://")[2].partition("/")[0].partition("?")[0].partition("#")[0].rpartition(".")[2].lower()
-        suffixes[suffix] += 1
-        suffix_bad[suffix] += label
-
-    def odds(b: Counter, n: Counter, floor: int) -> dict[str, float]:
-        return {k: math.log((b[k] + 1) / (n[k] - b[k] + 1)) for k in sorted(n) if n[k] >= floor}
-
-    return odds(bad, words, least), odds(suffix_bad, suffixes, 1)
+        every[suffix] += 1
+        bad[suffix] += label
+    odds = {k: math.log((bad[k] + 1) / (n - bad[k] + 1)) for k, n in sorted(every.items())}
+    return odds, {k: n / len(labelled) for k, n in sorted(every.items())}
 
 
 def _lookup(odds: dict[str, float]) -> Column:
     return F.create_map(*[F.lit(x) for kv in odds.items() for x in kv]) if odds else F.lit(None).cast("map<string,double>")
 
 
-FEATURES = ["url_length", "host_length", "depth", "labels", "hyphens", "digit_ratio", "host_digit_ratio", "entropy", "parameters", "tail_length", "suffix_odds", "word_odds_sum", "word_odds_max"]
+FEATURES = ["url_length", "host_length", "depth", "labels", "longest_label", "hyphens", "digit_ratio", "host_digit_ratio", "entropy", "parameters", "tail_length", "suffix_odds", "suffix_share"]
+Statistics = tuple[dict[str, float], dict[str, float]]
 
 
-def features(df: DataFrame, url: str, word_odds: dict[str, float], suffix_odds: dict[str, float]) -> DataFrame:
+def features(df: DataFrame, url: str, statistics: Statistics) -> DataFrame:
     """``df`` with the lexical features of its url column; a null url has those of an empty one."""
     host, path, tail = parts_of(F.col(url))
     whole = F.coalesce(F.col(url), F.lit(""))
     df = df.withColumns({"_whole": whole, "_host": host, "_path": path, "_tail": tail})
     h, n = F.col("_host"), F.greatest(F.length("_host"), F.lit(1))
+    suffix = F.substring_index(h, ".", -1)
 
     def count(of: Column, kind: str) -> Column:
         return F.length(F.regexp_replace(of, f"[^{kind}]+", ""))
@@ -119,31 +120,38 @@ def features(df: DataFrame, url: str, word_odds: dict[str, float], suffix_odds:
     for c in _CHARS:
         p = (F.length(h) - F.length(F.replace(h, F.lit(c), F.lit("")))) / n
         entropy = entropy - F.when(p > 0, p * F.log2(p)).otherwise(0.0)
-    known = F.transform(F.array_distinct(F.split(h, "[-._]+")), lambda t: F.coalesce(F.try_element_at(_lookup(word_odds), t), F.lit(0.0)))
     found = {
         "url_length": F.length("_whole"),
         "host_length": F.length(h),
         "depth": count(F.col("_path"), "/"),
         "labels": count(h, "."),
+        "longest_label": F.array_max(F.transform(F.split(h, "[.]"), F.length)),
         "hyphens": F.length(h) - F.length(F.replace(h, F.lit("-"), F.lit(""))),
         "digit_ratio": count(F.col("_whole"), "0-9") / F.greatest(F.length("_whole"), F.lit(1)),
         "host_digit_ratio": count(h, "0-9") / n,
         "entropy": entropy,
         "parameters": count(F.col("_tail"), "="),
         "tail_length": F.length("_tail"),
-        "suffix_odds": F.coalesce(F.try_element_at(_lookup(suffix_odds), F.substring_index(h, ".", -1)), F.lit(0.0)),
-        "word_odds_sum": F.aggregate(known, F.lit(0.0), lambda a, x: a + x),
-        "word_odds_max": F.coalesce(F.array_max(known), F.lit(0.0)),
+        "suffix_odds": F.coalesce(F.try_element_at(_lookup(statistics[0]), suffix), F.lit(0.0)),
+        "suffix_share": F.coalesce(F.try_element_at(_lookup(statistics[1]), suffix), F.lit(0.0)),
     }
     return df.withColumns({k: v.cast("double") for k, v in found.items()}).drop("_whole", "_host", "_path", "_tail")
 
 
-def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int = 12, depth: int = 3) -> tuple[GBTClassificationModel, dict[str, float], dict[str, float]]:
-    """Fit the trees on labelled urls, which are a bounded list of the caller's."""
-    words, suffixes = host_statistics(labelled)
-    table = spark.createDataFrame([(u, float(y)) for u, y in labelled], "url string, label double").coalesce(1)
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(table, "url", words, suffixes))
-    return GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(data.select("features", "label")), words, suffixes
+def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int = 20, depth: int = 4) -> tuple[GBTClassificationModel, Statistics]:
+    """Fit the trees on labelled urls, which are a bounded list of the caller's.
+
+    The suffix statistics that a url trains with are those of the other half of the list, so
+    that they say no more about it than about urls to come; those returned are of all.
+    """
+    halves = [[x for i, x in enumerate(labelled) if i // 2 % 2 == k] for k in (0, 1)]
+    data = None
+    for own, other in (halves, halves[::-1]):
+        table = spark.createDataFrame([(u, float(y)) for u, y in own], "url string, label double")
+        part = features(table, "url", suffix_statistics(other))
+        data = part if data is None else data.unionByName(part)
+    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data.coalesce(1))
+    return GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(data.select("features", "label")), suffix_statistics(labelled)
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled: Sequence[tuple[str, int]] | None = None) -> DataFrame:
@@ -151,13 +159,13 @@ def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, lab
 
     The verdict is the longest fitting rule's, else block from a score of 0.5 by the trees.
     ``labelled`` are (url, 1 to block); by default a built-in list. Null urls, and urls without
-    ``://``, have an empty host and path, fit no rule and are scored as empty hosts. Repeated
-    rows stay; an empty table gives no rows.
+    ``://``, have an empty host and path, fit no rule and are scored as empty hosts. Null
+    page_ids, repeated rows and extra columns are fine; an empty table gives no rows.
     """
-    model, words, suffixes = train(pages.sparkSession, labelled or labelled_urls())
+    model, statistics = train(pages.sparkSession, labelled or labelled_urls())
     host, path, _ = parts_of(F.col("url"))
     rows = pages.select("page_id", F.col("url")).withColumns({"host": host, "path": path})
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(rows, "url", words, suffixes))
+    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(rows, "url", statistics))
     scored = model.transform(data.select("page_id", "host", "path", "features"))
     scored = scored.withColumn("block_score", vector_to_array("probability")[1]).withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")

@@ -140,7 +140,9 @@ def test_urls(spark):
         (None, "", "", None, None),
         ("", "", "", None, None),
         ("http://casino-win.example.org/en", "casino-win.example.org", "/en", None, "block"),
+        ("http://m.ads-track.example.com/en/40021#top", "m.ads-track.example.com", "/en/40021", None, "block"),
         ("http://thelibrary.example.org/en", "thelibrary.example.org", "/en", None, "allow"),
+        ("https://blog.tionble.example.com/en/39680.html", "blog.tionble.example.com", "/en/39680.html", None, "allow"),
         ("http://" + "a" * 100000 + ".com/?" + "q=1&" * 9999, "a" * 100000 + ".com", "/", None, None),
     ]
     pages = spark.createDataFrame([(i, u[0]) for i, u in enumerate(urls)], "page_id long, url string").withColumn("host", F.lit(3)).withColumn("features", F.lit(3))
@@ -149,6 +151,35 @@ def test_urls(spark):
         assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule)
         assert got[i]["verdict"] in ((verdict,) if verdict else ("allow", "block"))
     assert url_filter.url_verdicts(pages.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, urls[0][0]), (None, urls[0][0]), (7, None), (7, None)], "page_id long, url string")
+    assert sorted((str(r["page_id"]), r["host"], r["verdict"] == "block") for r in url_filter.url_verdicts(odd).drop("path").collect())[2:] == [("None", "a.b.net", True)] * 2
+
+
+def test_hosts_paths_and_rules_equal_sql(spark, sf_dir):
+    import duckdb
+
+    want = duckdb.sql(f"""
+      WITH p AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM '{sf_dir}/pages.parquet'),
+      q AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+      r(rule, name, start, verdict) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow'))
+      SELECT page_id, host, path, arg_max(rule, length(rule)), arg_max(verdict, length(rule))
+      FROM q LEFT JOIN r ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY ALL""").fetchall()
+    got = {r["page_id"]: r for r in url_filter.url_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()}
+    assert len(want) == len(got)
+    for page, host, path, rule, verdict in want:
+        r = got[page]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and (rule is None or r["verdict"] == verdict)
+
+
+def test_trees_judge_urls_of_unseen_words(spark):
+    model, statistics = url_filter.train(spark, url_filter.labelled_urls())
+    used = {name for name, x in zip(url_filter.FEATURES, model.featureImportances.toArray()) if x > 0.005}
+    assert {"hyphens", "digit_ratio", "entropy", "parameters", "suffix_odds"} <= used | {"host_digit_ratio"}
+    held_out = url_filter.labelled_urls(600, seed=99, syllables="wu zo fri kel bax ony hap mis ruf dac".split())
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(held_out)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.url_verdicts(pages, rules=[]).collect()}
+    right = [(got[i] == "block") == bool(y) for i, (_, y) in enumerate(held_out)]
+    assert sum(right) >= 0.9 * len(right)
 
 
 def test_secrets(spark, edges):
