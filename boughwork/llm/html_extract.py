@@ -28,7 +28,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style template textarea title iframe noframes".split())
 _FOREIGN = frozenset("svg math".split())  # these and what is in them may close themselves
 _HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())  # in svg and math
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("a abbr acronym area audio b bdi bdo big button canvas cite code data del dfn em embed font i img input ins kbd label map mark math meter nobr object output param picture progress q rb rp rt rtc ruby s samp select slot small source span strike strong sub sup svg textarea time track tt u var video wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _HTML_ONLY = _CLOSES_P | _VOID | frozenset("b big body button center code dd dt em i iframe label li noscript object ruby s select small span strike strong sub sup tbody td template textarea tfoot th thead tr tt u var xmp".split())
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -36,9 +36,22 @@ _SCOPE = frozenset("article aside body div dl fieldset figure footer form header
 _BAD_NAME = re.compile(r"(?:^|[^a-z])(nav|menu|sidebar|side|footer|foot|header|masthead|breadcrumbs?|ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|reply|replies|disqus|respond|login|signup|search|widget|pagination|pager|copyright|legal|toolbar|skip|tags?|meta)(?:$|[^a-z])")
 _GOOD_NAME = re.compile(r"(?:^|[^a-z])(article|content|post|entry|main|story|text|body|articlebody)(?:$|[^a-z])")
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z))", re.S)
-_UNQUOTED = re.compile(r"=\s*[^\s\"']+/\Z")  # a slash that ends a value closes nothing
-_ATTR = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: A name, and a value that is quoted only if a quote begins it.
+_ATTR = r"(=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+"
+_ATTRIBUTE = re.compile(_ATTR)
+_NAMES = frozenset("class id role itemprop aria-label".split())
+_TAG = re.compile(rf"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[\s/]++|{_ATTR.replace('(=', '(?:=', 1).replace('+(', '+(?:', 1)})*+)(?:>|\Z))", re.S)
+
+
+def _attributes(rest: str) -> tuple[str, bool]:
+    """The values of attributes that name an element, and whether the tag closes itself (a
+    slash that ends a value without quotes closes nothing)."""
+    values, end = [], 0
+    for found in _ATTRIBUTE.finditer(rest):
+        end = found.end()
+        if found[2] and found[1].lower() in _NAMES:
+            values.append(found[2].strip("\"'") if found[2][0] in "\"'" else found[2])
+    return " ".join(values).lower(), rest.endswith("/") and end < len(rest)
 
 
 @dataclass
@@ -81,21 +94,37 @@ def parse(page: str) -> Tree:
                     return tree.tags[i] in _FOREIGN
         return False
 
+    def body() -> None:
+        """What a body holds may come without its start tag."""
+        if len(stack) == 1 or tree.tags[stack[-1]] == "html":
+            if not open_tags["body"] and "body" not in tree.tags:
+                add("body", "", True)
+
+    def add(tag: str, names: str, opens: bool) -> None:
+        tree.tags.append(tag)
+        tree.names.append(names)
+        tree.parents.append(stack[-1])
+        if opens:
+            stack.append(len(tree.tags) - 1)
+            open_tags[tag] += 1
+
     at = 0
     while True:
         found = _TAG.search(page, at)
         text = page[at : found.start() if found else len(page)]
         if text:
+            if not text.isspace():
+                body()
             tree.texts.append((stack[-1], entities.unescape(text)))
         if not found:
             return tree
         at = found.end()
-        tag = (found[2] or found[5] or "").lower()
-        if not tag or (found[5] and not page.endswith(">", found.start(), at)):
+        tag = (found["tag"] or "").lower()
+        if not tag or not page.endswith(">", found.start(), at):
             continue  # a comment, a declaration, or a tag cut off at the end
         if tag not in _INLINE:
             tree.texts.append((-1, " "))
-        if found[1] or found[4]:
+        if found["end"]:
             if open_tags[tag]:
                 depth = len(stack) - 1
                 while tree.tags[stack[depth]] != tag:
@@ -111,19 +140,13 @@ def parse(page: str) -> Tree:
             close(("p",))
         if tag in _SAME:
             close(_SAME[tag])
-        attributes = found[3] or found[6] or ""
-        names = " ".join(a or b or c for a, b, c in _ATTR.findall(attributes)) if attributes.strip() else ""
-        tree.tags.append(tag)
-        tree.names.append(names.lower())
-        tree.parents.append(stack[-1])
-        if (inside or tag in _FOREIGN) and attributes.endswith("/") and not _UNQUOTED.search(attributes):
-            continue
-        if tag in _RAW and not (inside and tag == "title"):
+        names, closed = _attributes(found["rest"])
+        closed = closed and (inside or tag in _FOREIGN)
+        raw = tag in _RAW and not closed and not (inside and tag == "title")
+        add(tag, names, not closed and not raw and tag not in _VOID)
+        if raw:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?|\Z", re.I).search(page, at)
             at = end.end()
-        elif tag not in _VOID:
-            stack.append(len(tree.tags) - 1)
-            open_tags[tag] += 1
 
 
 def _zone(tag: str, name: str) -> str:
@@ -303,6 +326,12 @@ def labelled_pages(count: int = 160, seed: int = 3) -> list[tuple[str, list[int]
             main = body
         if rng.random() < 0.25:
             main = [("div", rng.choice(("", 'id="wrapper"')), 0, main)] if shell < 0.9 else main
+        if rng.random() < 0.08:
+            parts = [words(5, 120)]
+            for _ in range(rng.randint(0, 5)):
+                parts += [rng.choice((("br", "", 1, []), ("b", "", 1, [words(1, 6)]), ("a", "", 1, [words(1, 4)]), "\n")), words(3, 90)]
+            pages.append(build(("body", "", 1, parts)))
+            continue
         before = [noise(k) for k in ("header", "nav", "ad", "notice", "form") if rng.random() < 0.45]
         after = [noise(k) for k in ("comments", "aside", "ad", "form", "footer", "footer") if rng.random() < 0.4]
         tree = ("html", "", 0, [("head", "", 0, [("meta", "", 0, []), ("title", "", 0, [words(2, 6)]), ("style", "", 0, ["p{}"]), ("script", "", 0, ["var a='</p>';"])]), ("body", "", int(shell >= 0.9), [*before, *main, *after])])

@@ -250,4 +250,21 @@ def test_svg_math_and_unclosed_elements_keep_the_article():
     for tag in ("script", "style", "template", "textarea", "iframe", "noframes"):
         assert "lost" not in model.text(f"<article><p>{words}</p><{tag}/>lost</{tag}><p>{words}</p></article>")
     tree = html_extract.parse("<svg a=x/><b>t</b></svg><svg><g/><g /><a href='y'/></svg>u")
-    assert tree.tags.count("g") == 2 and next(i for i, t in tree.texts if t == "u") == 0
+    assert tree.tags.count("g") == 2 and next(tree.tags[i] for i, t in tree.texts if t == "u") == "body"
+
+
+def test_attributes_and_bare_text():
+    model = html_extract.fit(html_extract.labelled_pages())
+    pages = {
+        "<article><p data-x=it's>One one one here today.</p><p>Two it's fine text also.</p><p>Three three words.</p></article>": "One one one here today. Two it's fine text also. Three three words.",
+        "just bare text here, which goes on for a while.": "just bare text here, which goes on for a while.",
+        "a bare <b>text</b> page<br>with a second line and more words": "a bare text page with a second line and more words",
+        "<article><p>a<img src=x>b and other words follow</p></article>": "ab and other words follow",
+        '<article data-id="menu"><p data-class=nav>Some words that count.</p></article>': "Some words that count.",
+        '<article><p title="a > b">Text within the paragraph.</p><p class="x"y=z>More text in here.</p></article>': "Text within the paragraph. More text in here.",
+        "<article><p title='never closed>Text all the same.</p><p>x < y and y > z</p></article>": "Text all the same. x < y and y > z",
+        "<article><p>" + "long &lt; text " * 200_000 + "</p></article>": " ".join(["long < text"] * 200_000),
+    }
+    for page, want in pages.items():
+        assert model.text(page) == want
+    assert html_extract.parse('<p data-id=a ID="B c" class=d/e/ x>').names[1] == "b c d/e/"
