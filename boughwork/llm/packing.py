@@ -17,7 +17,6 @@ from boughwork.llm.tokens import default_vocabulary, encoder
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
-
 #: Ids of a partition of the shuffle, about; and keys of a document there.
 _PARTITION_IDS, _KEYS = 4_000_000, 2
 
@@ -131,7 +130,7 @@ def _encode(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         for batch in batches:
-            docs = [np.frombuffer(ids, "<u4") for ids in encode(batch.column(1).to_pylist())]
+            docs = encode(batch.column(1))
             data = [d.astype("<u2" if d.max(initial=0) < 1 << 16 else "<u4").tobytes() for d in docs]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, docs), pa.int64()), pa.array(data, pa.binary())], ["doc_id", "n", "ids"])
 
@@ -139,18 +138,20 @@ def _encode(vocabulary: str):
 
 
 def _decode(n: int, data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}" if n else "<u4").astype("<u4")
+    return np.frombuffer(data, f"<u{len(data) // n}" if n else "<u4")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, df) of a partition's documents."""
-    df = np.zeros(1 << 16, np.int64)
+    df, last = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
     for batch in batches:
         for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            terms = np.unique(_decode(n, data))
-            if n and terms[-1] >= len(df):
-                df = np.r_[df, np.zeros(int(terms[-1]) + 1, np.int64)]
-            df[terms] += 1
+            ids = _decode(n, data)
+            if n and (more := int(ids.max()) + 1 - len(df)) > 0:
+                df, last = (np.r_[x, np.zeros(more, np.int64)] for x in (df, last))
+            place = np.arange(n)
+            last[ids] = place
+            df[ids[last[ids] == place]] += 1  # each term where it stands last
     terms = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(df[terms], pa.int64())], ["term", "df"])
 
@@ -173,14 +174,20 @@ def _keyed(held):
         own = held.value
         draws = np.random.default_rng(17).exponential(size=(_KEYS, len(own.df))) / own.idf()
         draws[:, own.df < 2] = np.inf
+        by_draw = draws.argsort(axis=1)
+        rank = by_draw.argsort(axis=1)
+        drawn = int((own.df >= 2).sum())
         for batch in batches:
+            n, data = batch.column(1).to_numpy(), batch.column(2).to_pylist()
             keys = np.full((_KEYS, batch.num_rows), -1, np.int64)
-            for i, (n, data) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                if n:
-                    terms = _decode(n, data)
-                    mine = draws[:, terms]
-                    best = mine.argmin(axis=1)
-                    keys[:, i] = np.where(np.isfinite(mine.min(axis=1)), terms[best], -1)
+            full = np.flatnonzero(n)
+            for part in np.array_split(full, 1 + int(n.sum()) // 2_000_000):
+                if len(part):
+                    ids = np.concatenate([_decode(n[i], data[i]) for i in part])
+                    starts = np.cumsum(n[part]) - n[part]
+                    for k in range(_KEYS):
+                        least = np.minimum.reduceat(rank[k][ids], starts)
+                        keys[k, part] = np.where(least < drawn, by_draw[k][least], -1)
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], ["doc_id", "n", "ids", "at", *(f"key{k}" for k in range(_KEYS))])
 
     return run
@@ -240,7 +247,7 @@ def _pack(counted, window: int, end_id: int, shard_ids: int, with_ids: bool):
 
         for batch in batches:
             for doc_id, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                shard.append((doc_id, np.concatenate([_decode(n, data), end])))
+                shard.append((doc_id, np.concatenate([_decode(n, data).astype("<u4"), end])))
                 held += len(shard[-1][1])
                 if held >= shard_ids:
                     yield fill()

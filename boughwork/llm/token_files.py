@@ -87,12 +87,12 @@ def _write(vocabulary: str, end_id: int, block_ids: int, bit_planes: bool):
         from pyspark import TaskContext
 
         encode, shard = encoder(vocabulary).encode, TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
-        pending, held, docs, first, total, block = [], 0, [], 0, 0, 0
+        end = np.array([end_id], "<u4")
+        pending, held, docs, first, total, block = [np.zeros(0, "<u4")], 0, [], 0, 0, 0
 
         def emit(final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal pending, held, docs, first, block
-            data = np.frombuffer(b"".join(pending), "<u4")
+            data = np.concatenate(pending)
             at = 0
             while len(data) - at >= block_ids or final and at < len(data):
                 ids = data[at : at + block_ids]
@@ -102,12 +102,12 @@ def _write(vocabulary: str, end_id: int, block_ids: int, bit_planes: bool):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(row, _BLOCK_FIELDS)], [n for n, _ in _BLOCK_FIELDS])
                 docs = [d for d in docs if d["start"] + d["n_tokens"] > upto]
                 first, at, block = upto, at + len(ids), block + 1
-            pending = [data[at:].tobytes()]
+            pending = [data[at:].copy()]
             held = len(data) - at
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                n = len(ids) // 4 + 1
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                n = len(ids) + 1
                 docs.append({"doc_id": doc_id, "start": total, "n_tokens": n})
                 pending += [ids, end]
                 total, held = total + n, held + n
@@ -118,15 +118,17 @@ def _write(vocabulary: str, end_id: int, block_ids: int, bit_planes: bool):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 2, block_ids: int = 65536, bit_planes: bool = True, shards: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 2, block_ids: int = 65536, bit_planes: bool = True, shards: int | None = None, shard_bytes: int = 128_000_000) -> None:
     """Encode whole texts of ``docs`` (doc_id, text) and write them in ascending doc_id order.
 
     Every document's ids are followed by ``end_id``; null and empty texts have that id alone.
     A null doc_id sorts first; rows of one doc_id are ordered by their text's hash, equal rows
-    stay as many as they are. Shards are ranges of doc_id in order; within one, documents
-    follow each other across blocks of ``block_ids`` ids. An empty table writes no block.
+    stay as many as they are. Shards are ranges of doc_id in order, ``shards`` of them or as
+    many as shuffle partitions, but none of much over ``shard_bytes`` of text; within one,
+    documents follow each other across blocks of ``block_ids`` ids. An empty table writes no block.
     """
-    count = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] if not shards else 0
+    count = shards or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
     order = ["doc_id", "tie"]
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     ranged = rows.repartitionByRange(count, *order).sortWithinPartitions(*order).select("doc_id", "text")
@@ -169,7 +171,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     done = parts.where("piece is null").select("shard", "doc_id", "start", "n_tokens", "ids_crc32")
     pieces = F.transform(F.array_sort(F.collect_list(F.struct("piece_at", "piece"))), lambda x: x["piece"])
     crossing = parts.where("piece is not null").groupBy("shard", "start", "doc_id", "n_tokens").agg(pieces.alias("pieces"))
-    joined = F.aggregate("pieces", F.unhex(F.lit("")), lambda a, x: F.concat(a, x))
+    joined = F.unhex(F.array_join(F.transform("pieces", F.hex), ""))
     crossing = crossing.select("shard", "doc_id", "start", "n_tokens", F.crc32(joined).alias("ids_crc32"))
     whole = done.unionByName(crossing).join(F.broadcast(offset), "shard")
     return whole.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

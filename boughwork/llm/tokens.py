@@ -2,167 +2,237 @@
 
 Byte-level BPE never merges across its pre-token boundaries, and a boundary always lies
 before a single space or a single newline between two other characters. Such texts are cut
-there; each distinct piece is encoded once per worker and its ids are reused. A text with
-any other run of white space, or with the string of an added token, is encoded whole. Both ways give the library's own ids.
+there, many at a time, as Arrow arrays; each distinct piece is encoded once per worker and its
+ids are copied to where the piece stands. A text with any other run of white space, or with
+the string of an added token, is encoded whole. Both ways give the library's own ids.
 """
 
 from __future__ import annotations
 
 import os
-from itertools import filterfalse
-from operator import add
+from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Every character but space and newline that some engine counts as white space.
 _OTHER_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
-_ASCII_SPACE = _OTHER_SPACE[:8]
-#: What may close a word; the rest of the word is looked up without it.
-_TAIL = ".,!?;:%&$*#|"
+#: Texts that are not cut: white space of another kind, or not between two other characters.
+_WHOLE = f"[{_OTHER_SPACE}]|[ \n][ \n]|\\A[ \n]|[ \n]\\z"
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: What may close a word after a letter; it is a pre-token of its own.
+_STEM = f"(?s)\\A(?P<stem>.*[{_LATIN}])(?P<tail>[.,!?;:%&$*#|]+)\\z"
 #: Words that share one encoding call; fixed, so that no call grows with the input.
 _GROUP = 200
-#: Characters of the texts that are cut up at a time, so that their pieces stay few.
-_CHUNK = 1 << 17
+#: Bytes of the texts that are cut up at a time, so that their pieces stay few.
+_CHUNK = 1 << 24
+
+
+def _byte_letters() -> dict[int, str]:
+    """By byte, the letter that stands for it in the vocabulary: printable bytes stand for
+    themselves, the others take letters from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``starts[i]`` up to ``starts[i] + sizes[i]``, one range after the other."""
+    at = np.repeat((starts - np.cumsum(sizes) + sizes).astype(np.int64), sizes)
+    at += np.arange(len(at))
+    return at
+
+
+class _Pool:
+    """Distinct pieces and their ids: those of piece ``i`` are ``ids[start[i] : start[i] + size[i]]``."""
+
+    def __init__(self):
+        self.pieces = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, "<u4")
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.pieces)
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each, -1 where it is new."""
+        return pc.fill_null(pc.index_in(pieces, self.pieces), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.start = np.r_[self.start, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.size = np.r_[self.size, sizes]
+        self.ids = np.r_[self.ids, ids]
+
+    def take(self, places: np.ndarray) -> np.ndarray:
+        return self.ids[_spread(self.start[places], self.size[places])]
+
+    def keep(self, places: np.ndarray) -> None:
+        """Forget all but these."""
+        self.ids, self.size, self.pieces = self.take(places), self.size[places], self.pieces.take(pa.array(places))
+        self.start = np.cumsum(self.size) - self.size
+
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``(ids, sizes)`` for as many rows each, the rows' ids put together."""
+    sizes = sum(n for _, n in parts)
+    ids, at = np.zeros(int(sizes.sum()), "<u4"), np.cumsum(sizes) - sizes
+    for own, n in parts:
+        ids[_spread(at, n)] = own
+        at = at + n
+    return ids, sizes
 
 
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Ids of texts.
 
-    ``max_words`` bounds the cache. It has two halves: what is looked up goes to the young
-    half, and once that is full it replaces the old one. A lost word costs time only.
-    With ``added_tokens`` the string of an added token in a text is that token, as the library
-    has it by default; without, that of a special one is ordinary text.
+    ``max_words`` bounds the cache: past it, only what the texts at hand hold is kept. A lost
+    word costs time only. With ``added_tokens`` the string of an added token in a text is that
+    token, as the library has it by default; without, that of a special one is ordinary text.
     """
 
-    def __init__(self, path: str, max_words: int = 1_200_000, added_tokens: bool = False):
+    def __init__(self, path: str, max_words: int = 1_500_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self._tokenizer.encode_special_tokens = True  # but for texts that hold one of those
-        self._newline = self._raw(["\n"])[0]
-        self._newline_bytes = np.array(self._newline, "<u4").tobytes()
-        self._half = max_words // 2
-        self._ids: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-        self._starts: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _as_loaded(self, text: str) -> list[int]:
-        self._tokenizer.encode_special_tokens = False
-        ids = self._raw([text])[0]
+        letters = _byte_letters()
+        self._letters = {b: c for b, c in letters.items() if chr(b) != c}
+        self._space, self._line = letters[0x20], letters[0x0A]
+        self._latin = Tokenizer.from_file(path)  # for words in the vocabulary's letters, a line letter between them
+        self._latin.pre_tokenizer = pre_tokenizers.Split(self._line, "isolated")
+        self._newline = np.array(self._raw(["\n"])[0], "<u4")
+        self._max = max_words
+        self._spaced, self._bare = _Pool(), _Pool()  # after a space (or from a newline on), and with nothing before
+
+    def _raw(self, texts: list[str], latin: bool = False) -> list[list[int]]:
+        tokenizer = self._latin if latin else self._tokenizer
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _whole(self, text: str) -> np.ndarray:
+        special = any(x in text for x in self._added)
+        self._tokenizer.encode_special_tokens = not special
+        ids = np.array(self._raw([text])[0], "<u4")
         self._tokenizer.encode_special_tokens = True
         return ids
 
-    def _grouped(self, words: list[str], joint: str) -> list[bytes]:
-        """Ids of each word as it stands after a newline and ``joint``."""
-        out: list[bytes] = []
-        groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
+    def _grouped(self, words: pa.Array, joint: str, latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word as it stands after a newline and ``joint``, and their numbers."""
+        edges = [*range(0, len(words), _GROUP), len(words)]
+        groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), words.cast(pa.string())), f"\n{joint}").to_pylist()
+        groups = [joint + g for g in groups]
+        if latin:
+            space, line = self._space, self._line
+            groups = [g.replace(" ", space).replace("\n", line) if g.isascii() else g.encode("utf-8").decode("latin-1").translate(self._letters) for g in groups]
         mark = self._newline[0] if len(self._newline) == 1 else 0xFFFFFFFF
-        for group, ids in zip(groups, self._raw([joint + f"\n{joint}".join(g) for g in groups])):
-            array = np.array([mark, *ids, mark], "<u4")
-            edges = (4 * np.flatnonzero(array == mark)).tolist()
-            if len(edges) == len(group) + 1:
-                data = array.tobytes()
-                out += [data[a + 4 : b] for a, b in zip(edges, edges[1:])]
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for a, b, found in zip(edges, edges[1:], self._raw(groups, latin)):
+            array = np.array([*found, mark], "<u4")
+            marked = array == mark
+            ends = np.flatnonzero(marked)
+            if len(ends) == b - a:
+                ids.append(array[~marked])
+                sizes.append(np.diff(ends, prepend=-1) - 1)
             else:
-                out += [np.array(x, "<u4").tobytes() for x in self._raw([joint + w for w in group])]
-        return out
-
-    def _pieces(self, text: str) -> list[str] | None:
-        """The text cut before each space or newline (a piece keeps its newline, not its
-        space); None if white space does not stand alone or is of another kind."""
-        if any(x in text for x in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE)):
-            return None
-        pieces = text.replace("\n", " \n").split(" ")
-        return None if "" in pieces or "\n" in pieces else pieces
-
-    def _learn(self, wanted: set[str]) -> None:
-        """Ids for pieces the young half lacks. What ends in marks of ``_TAIL`` after a letter
-        is two pre-tokens."""
-        ids = self._ids
-        wanted = self._promoted(wanted)
-        stems: set[str] = set()
-        new, split, split_stems, tails = [], [], [], []
-        for word in wanted:
-            stem = word.rstrip(_TAIL)
-            if len(stem) < len(word) and stem and stem[-1].isalpha():
-                split.append(word)
-                split_stems.append(stem)
-                tails.append(word[len(stem) :])
-            else:
-                new.append(word)
-        stems.update(filterfalse(ids.__contains__, split_stems))
-        stems.difference_update(wanted)  # those are among the new words
-        new += self._promoted(stems)
-        spaced = [w for w in new if w[0] != "\n"]
-        broken = [w for w in new if w[0] == "\n"]
-        ids.update(zip(spaced, self._grouped(spaced, " ")))
-        ids.update(zip(broken, (self._newline_bytes + x for x in self._grouped([w[1:] for w in broken], ""))))
-        self._start(set(tails))
-        ids.update(zip(split, map(add, map(ids.__getitem__, split_stems), map(self._starts.__getitem__, tails))))
-
-    def _promoted(self, words: set[str]) -> set[str]:
-        """Move those of the words that the old half has to the young one; the others."""
-        known = words & self._old.keys() if self._old else set()
-        self._ids.update(zip(known, map(self._old.__getitem__, known)))
-        return words - known
-
-    def _start(self, words: set[str]) -> None:
-        """Ids for words with nothing before them."""
-        if len(self._starts) + len(words) > self._half:
-            self._starts = {}
-        new = [w for w in words if w not in self._starts]
-        self._starts.update(zip(new, self._grouped(new, "")))
-
-    def _cut(self, cut: list[list[str]]) -> list[bytes]:
-        """Ids of texts given as pieces."""
-        found = [list(map(self._ids.get, pieces)) for pieces in cut]
-        wanted: set[str] = set()
-        for pieces, own in zip(cut, found):
-            wanted.update([p for p, x in zip(pieces[1:], own[1:]) if x is None])
-        if len(self._ids) + len(wanted) > self._half and self._ids:
-            self._old, self._ids = self._ids, {}
-        self._learn(wanted)
-        self._start({p[0] for p in cut})
-        out = []
-        for pieces, own in zip(cut, found):
-            own[0] = self._starts[pieces[0]]
-            out.append(b"".join([self._ids[p] if x is None else x for p, x in zip(pieces, own)]))
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Null and empty texts have no ids."""
-        out = [b""] * len(texts)
-        places: list[int] = []
-        cut: list[list[str]] = []
-        held = 0
-
-        def flush() -> None:
-            nonlocal places, cut, held
-            for i, ids in zip(places, self._cut(cut)):
-                out[i] = ids
-            places, cut, held = [], [], 0
-
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if any(x in text for x in self._added):
-                out[i] = np.array(self._as_loaded(text), "<u4").tobytes()
-                continue
-            pieces = self._pieces(text)
-            if pieces is None:
-                out[i] = np.array(self._raw([text])[0], "<u4").tobytes()
-                continue
-            places.append(i)
-            cut.append(pieces)
-            held += len(text)
-            if held >= _CHUNK:
-                flush()
-        flush()
+                each = self._raw([joint + w for w in words[a:b].to_pylist()])
+                ids.append(np.array([x for one in each for x in one], "<u4"))
+                sizes.append(np.array([*map(len, each)], np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, pool: _Pool, words: pa.Array, joint: str) -> np.ndarray:
+        """The places in ``pool`` of words that stand after ``joint``; new ones are encoded."""
+        coded = words.dictionary_encode()
+        place = pool.find(coded.dictionary)
+        at = np.flatnonzero(place < 0)
+        new = coded.dictionary.take(pa.array(at))
+        latin = pc.match_substring_regex(new, f"\\A[{_LATIN}]+\\z").to_numpy(zero_copy_only=False)
+        plain = pc.string_is_ascii(new).to_numpy(zero_copy_only=False)
+        for own in (latin & plain, latin & ~plain, ~latin):
+            if own.any():
+                place[at[own]] = len(pool) + np.arange(own.sum())
+                some = new.filter(pa.array(own))
+                pool.add(some, *self._grouped(some, joint, bool(latin[own][0])))
+        return place[coded.indices.to_numpy()]
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """The places of distinct pieces that don't begin a text. A new one is taken apart into
+        its newline, what closes it, and the word between."""
+        pool, bare = self._spaced, self._bare
+        place = pool.find(pieces)
+        at = np.flatnonzero(place < 0)
+        if not len(at):
+            return place
+        new = pieces.take(pa.array(at))
+        found = pc.extract_regex(new, _STEM)
+        tailed, broken = found.is_valid(), pc.starts_with(new, "\n")
+        body = pc.if_else(tailed, pc.struct_field(found, "stem"), new)
+        body = pc.if_else(broken, pc.utf8_slice_codeunits(body, 1), body)
+        closed, lined = tailed.to_numpy(zero_copy_only=False), broken.to_numpy(zero_copy_only=False)
+        words, lines, tails = (np.zeros(len(new), np.int64) for _ in range(3))
+        words[~lined] = self._learn(pool, body.filter(pc.invert(broken)), " ")
+        lines[lined] = self._learn(bare, body.filter(broken), "")
+        tails[closed] = self._learn(bare, pc.struct_field(found, "tail").filter(tailed), "")
+        place[at] = words
+        if (joint := closed | lined).any():
+            place[at[joint]] = len(pool) + np.arange(joint.sum())
+            parts = [(np.tile(self._newline, int(lined.sum())), np.where(lined, len(self._newline), 0)[joint])]
+            for owner, places, own in ((pool, words, ~lined), (bare, lines, lined), (bare, tails, closed)):
+                mine = own & joint
+                sizes = np.zeros(len(new), np.int64)
+                sizes[mine] = owner.size[places[mine]]
+                parts.append((owner.take(places[mine]), sizes[joint]))
+            pool.add(new.filter(pa.array(joint)), *_joined(parts))
+        return place
+
+    def _cut(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts cut before each space or newline (a piece keeps its newline, not its space)."""
+        if len(self._bare) > self._max // 2:
+            self._bare = _Pool()
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        edges = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.dictionary_encode()
+        code, heads = coded.indices.to_numpy(), edges[:-1]
+        first = self._learn(self._bare, coded.dictionary.take(pa.array(code[heads])), "")
+        inner = np.ones(len(code), bool)
+        inner[heads] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[code[inner]] = True
+        place = np.zeros(len(used), np.int64)
+        places = place[used] = self._places(coded.dictionary.filter(pa.array(used)))
+        at = place[code]
+        sizes = self._spaced.size[at] if len(self._spaced) else np.zeros(len(code), np.int64)
+        sizes[heads] = self._bare.size[first]
+        ids = np.zeros(int(sizes.sum()), "<u4")
+        at_first = np.repeat(~inner, sizes)
+        ids[at_first] = self._bare.take(first)
+        ids[~at_first] = self._spaced.take(at[inner])
+        upto = np.r_[0, np.cumsum(sizes)][edges].tolist()
+        if len(self._spaced) > self._max:
+            self._spaced.keep(places)
+        return [ids[a:b] for a, b in zip(upto, upto[1:])]
+
+    def encode(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
+        """Unsigned 32-bit ids of each text; null and empty texts have none."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        out = [np.zeros(0, "<u4")] * len(texts)
+        length = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, _WHOLE)
+        for token in self._added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        whole = whole.to_numpy(zero_copy_only=False) & (length > 0)
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = self._whole(texts[i].as_py())
+        plain = np.flatnonzero(~whole & (length > 0))
+        chunk = np.cumsum(length[plain]) // _CHUNK
+        for own in np.split(plain, np.flatnonzero(np.diff(chunk)) + 1):
+            if len(own):
+                for i, ids in zip(own.tolist(), self._cut(texts.take(pa.array(own)))):
+                    out[i] = ids
         return out
 
 
