@@ -23,7 +23,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), "source")
     return found.withColumnsRenamed({"start": "start_at", "end": "end_at"})
 
 

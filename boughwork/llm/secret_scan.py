@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,\-]*?-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----)?")
+_KEY_MARK = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]{0,40}PRIVATE KEY-----")
+_KEY_BODY = re.compile(r"[A-Za-z0-9+/=\s:,\-]*")
 _ASSIGNED = re.compile(r"\b(?:[A-Za-z0-9]{0,24}[_-])?(password|passwd|passphrase|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|auth[_-]?key|credentials?)[\"']?\s{0,4}(?:=>|:=|=|:)\s{0,4}[\"'`]?([^\s\"'`,;<>]{6,})", re.I)
 _LONG = re.compile(r"(?<![A-Za-z0-9_+/=.\-])[A-Za-z0-9_+/=.\-]{16,}")
 _PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|github_pat_|sk_live_|rk_live_|sk-|xox[abprs]-|eyJ|AIza|glpat-|npm_|SG\.")
@@ -23,9 +24,20 @@ _HEX = re.compile(r"(?:0[xX])?[0-9a-fA-F]+")
 _SECRET_WORDS = frozenset("password passwd passphrase pwd secret token key apikey api_key access_key auth authorization bearer credential credentials private client_secret".split())
 _PLAIN_WORDS = frozenset("commit sha sha1 sha256 sha512 md5 checksum digest hash uuid guid etag revision version integrity build id ref file path url href src image data".split())
 _DICTIONARY = "example sample test dummy placeholder change changeme your here insert replace secret password token none null true false user name value default admin config readme index document version release license common module package service server client random string number simple small large image photo page report update install system network public static object method function return import export data table column order customer product price account email phone address".split()
-_PATH_WORDS = ("test", "example", "fixture", "sample", "doc", "mock", "lock", "readme")
+_PATH_WORDS = ("test", "example", "fixture", "sample", "docs/", "mock", "lock", "readme")
+_CONFIG_WORDS = (".env", "config", "credential", "secret", "prod", "deploy", ".pem", "settings")
 PATTERNS = ("key_block", "assigned", "long")
-FEATURES = ["length", "digits", "upper", "lower", "marks", "transitions", "distinct", "entropy", "hex", "uuid", "prefix", "dictionary", "repeats", "plain_path", "secret_before", "plain_before", "assigned", "quoted", "pattern", "dots"]
+FEATURES = ["length", "digits", "upper", "lower", "marks", "transitions", "distinct", "entropy", "hex", "uuid", "prefix", "dictionary", "repeats", "plain_path", "config_path", "secret_before", "plain_before", "assigned", "quoted", "pattern", "dots"]
+
+
+def key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Each BEGIN mark of a private key, up to the END mark if only the characters of a key
+    lie between, else alone. Marks are found once and paired, in linear time."""
+    marks = list(_KEY_MARK.finditer(text))
+    for mark, after in zip(marks, [*marks[1:], None]):
+        if mark[1] == "BEGIN":
+            whole = after is not None and after[1] == "END" and _KEY_BODY.fullmatch(text, mark.end(), after.start())
+            yield mark.start(), after.end() if whole else mark.end()
 
 
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
@@ -33,9 +45,9 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     if not text:
         return []
     long_words = any(len(w) >= 16 and not w.isalpha() for w in text.split())
-    if not long_words and "=" not in text and ":" not in text:
+    if not long_words and not any(mark in text for mark in ("=", ":", "-----BEGIN")):
         return []
-    found = [(m.start(), m.end(), "key_block") for m in _KEY_BLOCK.finditer(text)] if "-----BEGIN" in text else []
+    found = [(*span, "key_block") for span in key_blocks(text)] if "-----BEGIN" in text else []
     if "=" in text or ":" in text:
         found += [(*m.span(2), "assigned") for m in _ASSIGNED.finditer(text)]
     if long_words:
@@ -78,6 +90,7 @@ def features(text: str, start: int, end: int, pattern: str, path: str | None) ->
         min(1.0, covered / n),
         sum(a == b for a, b in zip(value, value[1:])) / n,
         float(any(w in path for w in _PATH_WORDS)),
+        float(any(w in path for w in _CONFIG_WORDS)),
         float(any(w in _SECRET_WORDS or w.rpartition("_")[2] in _SECRET_WORDS for w in near)),
         float(any(w in _PLAIN_WORDS for w in near)),
         float(bool(re.search(r"[=:]\s*[\"'`]?$", before))),
@@ -201,7 +214,13 @@ def labelled_findings(count: int = 1600, seed: int = 9) -> list[tuple[str, str,
         found = secret() if label else harmless()
         text = f"{prose()} {found}{rng.choice(('', ' ', '.', '###', '&&&', ' ;'))} {prose()}"
         if len(candidates(text)) == 1:
-            path = rng.choice(("", "", "src/app.py", "config/prod.env", "web1")) if label or rng.random() < 0.6 else rng.choice(("tests/test_api.py", "docs/readme.md", "package-lock.json", "examples/a.py"))
+            kind = rng.random()
+            if kind < (0.12 if label else 0.4):
+                path = rng.choice(("tests/test_api.py", "docs/readme.md", "package-lock.json", "examples/a.py"))
+            elif kind > (0.8 if label else 0.92):
+                path = rng.choice(("config/prod.env", "deploy/settings.py", "secrets.yml", ".env"))
+            else:
+                path = rng.choice(("", "", "src/app.py", "web1"))
             out.append((text, path, label))
     return out
 
@@ -224,8 +243,8 @@ def scan(docs: DataFrame, path: str | None = None, labelled: Sequence[tuple[str,
     """``(doc_id, start, end, pattern, score, is_secret)`` of every candidate in whole texts.
 
     Positions count code points, end excluded; is_secret from a score of 0.5. ``path`` names a
-    column with the text's file path, if there is one; ``labelled`` are findings to train on,
-    by default a built-in set. Null and empty texts have no candidates; repeated rows have
+    column with the text's file path or origin, if there is one; ``labelled`` are findings to
+    train on, by default a built-in set. Null and empty texts have no candidates; repeated rows have
     theirs each time; extra columns are ignored; an empty table gives no rows.
     """
     forest = docs.sparkSession.sparkContext.broadcast(train(labelled or labelled_findings()))
