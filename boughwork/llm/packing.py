@@ -129,7 +129,7 @@ def _encode(vocabulary: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
-        for batch in batches:
+        for batch in (whole.slice(i, 2500) for whole in batches for i in range(0, whole.num_rows, 2500)):
             docs = encode(batch.column(1))
             data = [d.astype("<u2" if d.max(initial=0) < 1 << 16 else "<u4").tobytes() for d in docs]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, docs), pa.int64()), pa.array(data, pa.binary())], ["doc_id", "n", "ids"])

@@ -105,7 +105,7 @@ def _write(vocabulary: str, end_id: int, block_ids: int, bit_planes: bool):
             pending = [data[at:].copy()]
             held = len(data) - at
 
-        for batch in batches:
+        for batch in (whole.slice(i, 2500) for whole in batches for i in range(0, whole.num_rows, 2500)):
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 n = len(ids) + 1
                 docs.append({"doc_id": doc_id, "start": total, "n_tokens": n})

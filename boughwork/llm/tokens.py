@@ -26,7 +26,7 @@ _STEM = f"(?s)\\A(?P<stem>.*[{_LATIN}])(?P<tail>[.,!?;:%&$*#|]+)\\z"
 #: Words that share one encoding call; fixed, so that no call grows with the input.
 _GROUP = 200
 #: Bytes of the texts that are cut up at a time, so that their pieces stay few.
-_CHUNK = 1 << 24
+_CHUNK = 1 << 22
 
 
 def _byte_letters() -> dict[int, str]:
@@ -56,8 +56,12 @@ class _Pool:
         return len(self.pieces)
 
     def find(self, pieces: pa.Array) -> np.ndarray:
-        """The place of each, -1 where it is new."""
-        return pc.fill_null(pc.index_in(pieces, self.pieces), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        """The place of each of some distinct pieces, -1 where it is new. They are fewer than
+        the pool's, so those look themselves up among them."""
+        place = np.full(len(pieces), -1, np.int64)
+        found = pc.index_in(self.pieces, pieces)
+        place[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        return place
 
     def add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.pieces = pa.concat_arrays([self.pieces, pieces])
@@ -92,7 +96,7 @@ class WordEncoder:
     token, as the library has it by default; without, that of a special one is ordinary text.
     """
 
-    def __init__(self, path: str, max_words: int = 1_500_000, added_tokens: bool = False):
+    def __init__(self, path: str, max_words: int = 800_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -121,6 +125,10 @@ class WordEncoder:
 
     def _grouped(self, words: pa.Array, joint: str, latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word as it stands after a newline and ``joint``, and their numbers."""
+        step = 50 * _GROUP
+        if len(words) > step:  # the library holds some hundred bytes for each id of a call
+            parts = [self._grouped(words.slice(i, step), joint, latin) for i in range(0, len(words), step)]
+            return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
         edges = [*range(0, len(words), _GROUP), len(words)]
         groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), words.cast(pa.string())), f"\n{joint}").to_pylist()
         groups = [joint + g for g in groups]
