@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boughwork.functions import paths
+from boughwork.sources.scratch import settle
 
 # The drawing of a tree.
 TEE, ELBOW, BAR, BLANK = "├── ", "└── ", "│   ", "    "
 
 
+#: Rows of a sibling window's group, besides the neighbours at its ends.
+_BUCKET = 50_000
+
+
 def siblings(entries: DataFrame) -> DataFrame:
-    """Adds ``is_last`` and ``spacer`` (the sibling before is a directory), by sibling group."""
-    own = entries.withColumn("parent", paths.parent_of(F.col("relpath")))
-    order = Window.partitionBy("parent").orderBy(~F.col("is_dir"), F.lower(paths.name_of(F.col("relpath"))), paths.name_of(F.col("relpath")))
-    return own.withColumn("is_last", F.lead("relpath").over(order).isNull()).withColumn("spacer", F.coalesce(F.lag("is_dir").over(order), F.lit(False)))
+    """Adds ``is_last`` and ``spacer`` (the sibling before is a directory), by sibling group.
+
+    All entries are numbered in sibling order, and each looks at its neighbours' numbers.
+    Windows hold ``_BUCKET`` consecutive numbers and one more at either end, so a directory
+    of any size is dealt out.
+    """
+    name = paths.name_of(F.col("relpath"))
+    own = entries.withColumns({"parent": paths.parent_of(F.col("relpath")), "_k1": ~F.col("is_dir"), "_k2": F.lower(name), "_k3": name})
+    own = numbered(own, "parent", "_k1", "_k2", "_k3", name="_at").drop("_k1", "_k2", "_k3")
+    bucket, place = F.floor(F.col("_at") / _BUCKET), F.col("_at") % _BUCKET
+    seen = F.array_compact(F.array(bucket, F.when(place == 0, bucket - 1), F.when(place == _BUCKET - 1, bucket + 1)))
+    dealt = own.withColumn("_bucket", F.explode(seen))
+    order = Window.partitionBy("_bucket").orderBy("_at")
+    after, before = F.lead("parent").over(order), F.lag("parent").over(order)
+    found = dealt.withColumn("is_last", ~F.coalesce(after == F.col("parent"), F.lit(False)))
+    found = found.withColumn("spacer", F.coalesce((before == F.col("parent")) & F.lag("is_dir").over(order), F.lit(False)))
+    return found.where(F.col("_bucket") == bucket).drop("_bucket", "_at")
 
 
 def prefixed(arranged: DataFrame) -> DataFrame:
@@ -30,18 +50,16 @@ def prefixed(arranged: DataFrame) -> DataFrame:
 def numbered(df: DataFrame, *keys, name: str = "ord") -> DataFrame:
     """Rows numbered from 0 by ``keys``, which should be unique.
 
-    Ranges are sorted where they lie; only how many rows each holds goes to the driver.
+    Rows are sorted in ranges, once, and numbered where they lie; how many rows the ranges
+    before hold comes from a broadcast table of one row for each range.
     """
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_range", F.spark_partition_id()).persist()
-    counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
-    before, offsets = 0, []
-    for part in sorted(counts):
-        offsets += [F.lit(part), F.lit(before)]
-        before += counts[part]
-    if not offsets:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
-    return ranged.withColumn(name, (place + F.try_element_at(F.create_map(*offsets), F.col("_range"))).cast("long")).drop("_range")
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    ranged = settle(ranged, "ranges").withColumn("_range", F.shiftright("_place", 33))
+    counts = sorted(ranged.groupBy("_range").count().collect())
+    before = [0, *accumulate(n for _, n in counts)]
+    offsets = df.sparkSession.createDataFrame([(part, at) for (part, _), at in zip(counts, before)], "_range long, _before long")
+    place = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    return ranged.join(F.broadcast(offsets), "_range").select(*df.columns, place.alias(name))
 
 
 def preorder(entries: DataFrame) -> DataFrame:
@@ -50,11 +68,12 @@ def preorder(entries: DataFrame) -> DataFrame:
     return numbered(keyed, "_key").drop("_key")
 
 
-def render(entries: DataFrame, alignment_col: int = 30) -> DataFrame:
+def render(entries: DataFrame, alignment_col: int = 30, key: Column | None = None) -> DataFrame:
     """``(ord, line)`` of a tree of ``entries`` (relpath, is_dir, and ``comment`` if they have one).
 
     A spacer line stands before an entry that follows a directory. The first comment line is
-    aligned; the others follow on lines of their own.
+    aligned; the others follow on lines of their own. ``key``, an expression over an entry's
+    columns, is added to its lines as ``key``.
     """
     if "comment" not in entries.columns:
         entries = entries.withColumn("comment", F.array().cast("array<string>"))
@@ -67,8 +86,9 @@ def render(entries: DataFrame, alignment_col: int = 30) -> DataFrame:
     line = F.when(F.coalesce(first, F.lit("")) == "", head).otherwise(F.concat(head, pad, F.lit("<- "), first))
     indent = F.concat("prefix", F.when(F.col("is_last"), BLANK).otherwise(BAR))
     fill = F.repeat(F.lit(" "), F.greatest(F.lit(1), F.lit(alignment_col + 3) - F.length(indent)))
-    more = F.transform(F.slice("comment", 2, F.greatest(F.size("comment") - 1, F.lit(0))), lambda c: F.concat(indent, fill, c))
+    rest = F.transform(F.slice("comment", 2, F.greatest(F.size("comment") - 1, F.lit(0))), lambda c: F.concat(indent, fill, c))
     before = F.when(F.col("spacer"), F.array(F.concat("prefix", F.lit("│")))).otherwise(F.array().cast("array<string>"))
-    lines = F.concat(before, F.array(line), more)
-    keyed = own.select(paths.preorder_key(F.col("relpath"), F.col("is_dir")).alias("_key"), F.posexplode(lines).alias("_at", "line"))
-    return numbered(keyed, "_key", "_at").select("ord", "line")
+    lines = F.concat(before, F.array(line), rest)
+    more = [] if key is None else [key.alias("key")]
+    keyed = own.select(*more, paths.preorder_key(F.col("relpath"), F.col("is_dir")).alias("_key"), F.posexplode(lines).alias("_at", "line"))
+    return numbered(keyed, "_key", "_at").drop("_key", "_at").select("ord", "line", *["key"] * len(more))

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boughwork.operators.layout import numbered
+from boughwork.sources.scratch import settle
 
 _BREAK = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
-_PREFIX = "((?:│   |    )*)"
-_ENTRY = f"(?U)^{_PREFIX}(├──|└──) (.*?)(?:\\s{{2,}}(?:<-|#)\\s?(.*))?$"
-_MORE = "(?U)^(?:│   |    )*\\s+(\\S.*)$"
+_GROUPS = "^(?:│   |    )*"
+_MORE = f"(?U){_GROUPS}\\s+(\\S.*)$"
 
 
 def split_lines(text: Column) -> Column:
@@ -56,53 +56,66 @@ def tree_block(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     return fenced_blocks(lines, key).where("has_tree").groupBy(key).agg(first).select(key, "b.start", "b.end")
 
 
+def _entry(text: Column) -> tuple[Column, Column, Column, Column]:
+    """Of a line: whether it is an entry (a connector after groups of indentation, and a
+    name), how many groups, the name, and what stands behind a gap and ``<-`` or ``#``."""
+    indent = F.length(F.regexp_extract(text, _GROUPS, 0))
+    rest = F.substring(text, indent + 1, F.length(text))
+    is_entry = (rest.startswith("├── ") | rest.startswith("└── ")) & (F.length(rest) > 4)
+    halves = F.split(F.substring(rest, 6, F.length(rest)), "(?U)\\s{2,}(?:<-|#)", 2)  # a name has a first character before any gap
+    name = F.regexp_replace(F.concat(F.substring(rest, 5, 1), halves[0]), "(?U)\\s+$", "")
+    return is_entry, F.floor(indent / 4).cast("int"), F.regexp_replace(name, "/+$", ""), F.coalesce(F.get(halves, F.lit(1)), F.lit(""))
+
+
 def parse_tree(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(key, relpath, comment)`` that the lines of each text's block document.
 
     Spacers count for nothing. A line that continues a comment belongs to the entry before it.
     An entry deeper than its place allows hangs on the deepest one open. Of one path's entries
-    the last counts. An empty array is an entry without a comment.
+    the last counts. An empty array is an entry without a comment. Windows run over a text's
+    lines; the deepest level found, one number, shapes the plan.
     """
     text = F.col("text")
-    is_entry = text.rlike(_ENTRY)
-    kept = lines.where(~spacer(text)).withColumn("_entry", is_entry)
-    more = F.regexp_extract(text, _MORE, 1)
-    first = F.regexp_replace(F.regexp_extract(text, _ENTRY, 4), "(?U)^\\s+|\\s+$", "")
-    name = F.regexp_replace(F.regexp_replace(F.regexp_extract(text, _ENTRY, 3), "(?U)\\s+$", ""), "/+$", "")
-    row = kept.select(
-        key,
-        "line_no",
-        F.sum(F.col("_entry").cast("int")).over(Window.partitionBy(key).orderBy("line_no")).alias("island"),
-        "_entry",
-        F.floor(F.length(F.regexp_extract(text, _ENTRY, 1)) / 4).cast("int").alias("depth"),
-        name.alias("name"),
-        F.when(F.col("_entry"), first).otherwise(F.regexp_replace(more, "(?U)\\s+$", "")).alias("said"),
-    ).where("island > 0")
-    said = F.array_sort(F.collect_list(F.when(F.col("said") != "", F.struct("line_no", "said"))))
+    is_entry, depth, name, said = _entry(text)
+    kept = lines.where(~spacer(text)).withColumns({"_entry": is_entry, "_depth": depth, "_name": name})
+    kept = kept.withColumn("_said", F.regexp_replace(F.when(is_entry, said).otherwise(F.regexp_extract(text, _MORE, 1)), "(?U)^\\s+|\\s+$", ""))
+    by_line = Window.partitionBy(key).orderBy("line_no")
+    row = kept.withColumn("island", F.sum(F.col("_entry").cast("int")).over(by_line)).where("island > 0")
+    said = F.array_sort(F.collect_list(F.when(F.col("_said") != "", F.struct("line_no", "_said"))))
     entries = row.groupBy(key, "island").agg(
-        F.max(F.when(F.col("_entry"), F.col("depth"))).alias("depth"),
-        F.max(F.when(F.col("_entry"), F.col("name"))).alias("name"),
-        F.transform(said, lambda s: s["said"]).alias("comment"),
+        F.max(F.when(F.col("_entry"), F.col("_depth"))).alias("depth"),
+        F.max(F.when(F.col("_entry"), F.col("_name"))).alias("name"),
+        F.transform(said, lambda s: s["_said"]).alias("comment"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("island", "depth", "name", "comment")))
-    start = F.struct(F.array().cast("array<string>").alias("stack"), F.array().cast("array<struct<island:bigint,relpath:string,comment:array<string>>>").alias("done"))
-
-    def step(state: Column, e: Column) -> Column:
-        stack = F.concat(F.slice(state["stack"], 1, F.least(e["depth"], F.size(state["stack"]))), F.array(e["name"]))
-        done = F.struct(e["island"].alias("island"), F.array_join(stack, "/").alias("relpath"), e["comment"].alias("comment"))
-        return F.struct(stack.alias("stack"), F.concat(state["done"], F.array(done)).alias("done"))
-
-    folded = entries.groupBy(key).agg(F.aggregate(ordered, start, step)["done"].alias("done"))
-    flat = folded.select(key, F.explode("done").alias("e"))
-    return flat.groupBy(key, F.col("e.relpath").alias("relpath")).agg(F.max_by("e.comment", "e.island").alias("comment"))
+    # a level is at most one below the entry before: level[i] = min(depth[i], level[i-1] + 1), from 0 on
+    so_far = Window.partitionBy(key).orderBy("island").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.col("island") - 1
+    level = at + F.least(F.lit(0), F.min(F.col("depth") - at).over(so_far))
+    entries = settle(entries.withColumn("level", level.cast("int")), "entries")
+    deepest = entries.agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]
+    # the last entry of each level above is the one that is open
+    above = [F.when(F.col("level") > k, F.last(F.when(F.col("level") == k, F.col("name")), ignorenulls=True).over(so_far)) for k in range(deepest)]
+    placed = entries.select(key, "island", "comment", F.concat_ws("/", *above, "name").alias("relpath"))
+    return placed.groupBy(key, "relpath").agg(F.max_by("comment", "island").alias("comment"))
 
 
 def make_help(lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, target, description, line)`` of ``## text`` lines followed by a target's rule."""
-    joined = lines.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: F.concat(x["text"], F.lit("\n"))), "\n").alias("text"))
-    pattern = "\n## (.*)\n[\\s\\S]+?\n([a-zA-Z_-]+):"
-    hits = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), 1).alias("description"), F.regexp_extract_all("text", F.lit(pattern), 2).alias("target"))
-    one = joined.select(key, F.explode(hits).alias("h")).select(key, "h.target", "h.description")
+    """``(key, target, description, line)`` of ``## text`` lines and the targets they describe.
+
+    A description (not on a text's first line) belongs to the first target that begins a line
+    at least two lines below it, before which there is no other target; of several, the first.
+    """
+    text, by_line = F.col("text"), Window.partitionBy(key).orderBy("line_no")
+    target = F.regexp_extract(text, "^([A-Za-z_-]+):", 1)
+    marked = lines.select(key, "line_no", target.alias("target"), F.when(text.startswith("## ") & (F.col("line_no") > 0), F.substring(text, 4, F.length(text))).alias("description"))
+    earlier = by_line.rowsBetween(Window.unboundedPreceding, -1)
+    marked = marked.withColumn("_group", F.coalesce(F.sum((F.col("target") != "").cast("int")).over(earlier), F.lit(0)))
+    one = marked.groupBy(key, "_group").agg(
+        F.max("target").alias("target"),
+        F.max(F.when(F.col("target") != "", F.col("line_no"))).alias("_at"),
+        F.min_by(F.struct("line_no", "description"), F.when(F.col("description").isNotNull(), F.col("line_no"))).alias("d"),
+    )
+    one = one.where(F.col("d.description").isNotNull() & (F.col("_at") - F.col("d.line_no") >= 2)).select(key, "target", "d.description")
     return one.withColumn("line", F.concat("target", F.repeat(F.lit(" "), F.greatest(F.lit(0), 25 - F.length("target"))), "description"))
 
 

@@ -15,6 +15,7 @@ from boughwork.functions.ignore import Rule, parse_rules
 from boughwork.operators import documented as docs
 from boughwork.operators import filters, layout, parse
 from boughwork.sources.directory import read_directory
+from boughwork.sources.scratch import settle
 
 
 def _rules(root: str, use_gitignore: bool) -> list[Rule]:
@@ -33,6 +34,10 @@ def _write(path: str, text: str) -> None:
     os.replace(temporary, path)
 
 
+def default_file(root: str) -> str:
+    return os.path.join(root, f"directory_structure_{datetime.date.today():%Y-%m-%d}.md")
+
+
 def _lines(rendered: DataFrame) -> list[str]:
     return [r["line"] for r in sorted(rendered.collect(), key=lambda r: r["ord"])]
 
@@ -44,10 +49,11 @@ def _entries(spark: SparkSession, root: str, max_levels: int, extensions, ignore
 
 
 def export_directory_tree(spark: SparkSession, root_dir: str, output_file: str | None = None, extensions: str | Iterable[str] | None = None, max_levels: int = 3, alignment_col: int = 30, ignore_dirs: Iterable[str] | None = None, use_gitignore: bool = True, mode: str = "git") -> str:
-    """Write the tree of a directory, without comments, to one file and return its path."""
+    """Write the tree of a directory, without comments, to one file (by default a dated one in
+    the directory) and return its path."""
     if not os.path.isdir(root_dir):
         raise ValueError(f"not a directory: {root_dir}")
-    output_file = output_file or f"directory_structure_{datetime.date.today():%Y-%m-%d}.md"
+    output_file = output_file or default_file(root_dir)
     entries = _entries(spark, root_dir, max_levels, extensions, ignore_dirs, use_gitignore, None, mode)
     _write(output_file, "```\n" + "\n".join(_lines(layout.render(entries, alignment_col))) + "\n```\n")
     return output_file
@@ -63,18 +69,19 @@ def merge_tree(spark: SparkSession, entries_of, lines: DataFrame, alignment_col:
     if block is None:
         raise ValueError("no fenced block with a tree")
     inside = lines.where((F.col("line_no") > block["start"]) & (F.col("line_no") < block["end"]))
-    known = parse.parse_tree(inside).select("relpath", "comment").persist()
-    entries = entries_of(known).persist()
+    known = settle(parse.parse_tree(inside).select("relpath", "comment"), "documented")
+    entries = settle(entries_of(known), "entries")
     new = layout.render(docs.attach(entries, known).select("relpath", "is_dir", "comment"), alignment_col)
     return parse.splice(lines, (block["start"], block["end"]), new), docs.difference(entries, known)
 
 
 def report(md_file: str, difference: DataFrame) -> str:
+    """What was added, in tree order, and removed, by name."""
     rows = sorted(difference.where("status <> 'found'").collect(), key=lambda r: r["ord"])
     out = [f"Updated '{md_file}':"]
     for status, sign in (("added", "+"), ("removed", "-")):
-        own = [f"  {sign} {r['path']}" for r in rows if r["status"] == status]
-        out += [f"{status.capitalize()} ({len(own)}):", *own] if own else [f"{status.capitalize()}: none"]
+        own = [f"    {sign} {r['path']}" for r in rows if r["status"] == status]
+        out += [f"  {status.capitalize()} ({len(own)}):", *own] if own else [f"  {status.capitalize()}: none"]
     return "\n".join(out)
 
 
@@ -110,12 +117,18 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("boughwork").getOrCreate()
     options = {"extensions": given.ext, "max_levels": given.max_levels, "alignment_col": given.alignment_col, "use_gitignore": not given.no_gitignore}
     if given.debug:
-        print(f"[debug] Scanning root: {given.root}")
-        for r in _entries(spark, given.root, 1, given.ext, None, not given.no_gitignore, None, "git").collect():
-            print("[debug]", "[dir] " if r["is_dir"] else "[file]", r["relpath"])
+        print(f"[debug] Scanning root: {os.path.abspath(given.root)}")
+        if os.path.isdir(given.root):
+            top = layout.preorder(_entries(spark, given.root, 1, given.ext, None, not given.no_gitignore, None, "git")).collect()
+            print(f"[debug] Top-level items found ({len(top)}):")
+            for r in sorted(top, key=lambda r: r["ord"]):
+                print("   ", "[dir] " if r["is_dir"] else "[file]", r["relpath"])
+        else:
+            print(f"[debug] not a directory: {given.root}")
     if given.create is not None:
-        target = os.path.join(given.root, given.create or f"directory_structure_{datetime.date.today():%Y-%m-%d}.md")
-        if os.path.exists(target) and input(f"{target} exists. Overwrite? [y/N] ").strip().lower() != "y":
+        target = os.path.join(given.root, given.create) if given.create else default_file(given.root)
+        if os.path.exists(target) and input(f"{target} exists. Overwrite? [y/n] ").strip().lower() != "y":
+            print("Left as it is:", target)
             return
         print("Successfully wrote directory structure to:", export_directory_tree(spark, given.root, target, **options))
     else:

@@ -170,10 +170,17 @@ def diff_counts(spark, sf_dir):
     return docs.difference(entries, _known(entries)).groupBy("status").agg(F.count("*").alias("n"), F.max("ord").alias("last_ord"))
 
 
+def diff_ordered(spark, sf_dir):
+    entries = geo(spark, sf_dir)
+    return docs.difference(entries, _known(entries))
+
+
 def parse_roundtrip(spark, sf_dir):
-    """What the rendered tree of ``geo`` documents, read back."""
-    rendered = tree_render_comments(spark, sf_dir)
-    lines = rendered.select(F.lit(1).alias("doc_id"), F.col("ord").alias("line_no"), F.col("line").alias("text"))
+    """What the rendered tree of ``geo`` documents, each region in a text of its own, read back."""
+    entries = geo(spark, sf_dir)
+    known = docs.attach(entries, _known(entries)).select("relpath", "is_dir", "comment")
+    rendered = layout.render(known, key=F.substring_index("relpath", "/", 1))
+    lines = rendered.select(F.col("key").alias("doc_id"), F.col("ord").alias("line_no"), F.col("line").alias("text"))
     return parse.parse_tree(lines).select("relpath", F.array_join("comment", "|").alias("comment"))
 
 
@@ -212,8 +219,10 @@ def splice(spark, sf_dir):
 
 
 def set_diff(spark, sf_dir):
-    every = _table(spark, sf_dir, "nation").select("n_nationkey")
-    return every.exceptAll(_table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey")).distinct())
+    """Nations outside Asia."""
+    nation = _table(spark, sf_dir, "nation")
+    asia = _table(spark, sf_dir, "region").where("r_name = 'ASIA'")
+    return nation.select("n_nationkey").exceptAll(nation.join(asia, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey"))
 
 
 def make_help(spark, sf_dir):
@@ -224,7 +233,7 @@ def make_help(spark, sf_dir):
 
 
 _NAMES = """tree_preorder tree_is_last tree_spacers tree_prefix tree_render tree_render_comments tree_depth_limit tree_recursive_expand filter_ext
-filter_names filter_prune ignore_last_match ignore_git documented_bypass comment_attach diff_found diff_added diff_removed diff_counts parse_roundtrip
+filter_names filter_prune ignore_last_match ignore_git documented_bypass comment_attach diff_found diff_added diff_removed diff_counts diff_ordered parse_roundtrip
 lines_explode collapse_runs fence_pairs first_block splice set_diff make_help""".split()
 
 
@@ -276,12 +285,13 @@ blocks AS (SELECT doc_id, (n - 1) // 2 AS pair, min(line_no) FILTER (WHERE fence
         "diff_added": f"WITH {_GEO}, {_KNOWN} SELECT relpath FROM geo ANTI JOIN known USING (relpath)",
         "diff_removed": f"WITH {_GEO}, {_KNOWN} SELECT relpath FROM known ANTI JOIN geo USING (relpath)",
         "diff_counts": f"WITH {_GEO}, {_KNOWN}, s AS (SELECT CASE WHEN known.comment IS NOT NULL THEN 'found' ELSE 'added' END AS status FROM geo LEFT JOIN known USING (relpath) UNION ALL SELECT 'removed' FROM known ANTI JOIN geo USING (relpath)) SELECT status, count(*) AS n, count(*) - 1 AS last_ord FROM s GROUP BY status",
+        "diff_ordered": f"WITH {_GEO}, {_KNOWN}, s AS (SELECT relpath, CASE WHEN comment IS NOT NULL THEN 'found' ELSE 'added' END AS status, {_KEY} AS k FROM geo LEFT JOIN known USING (relpath)) SELECT relpath AS path, status, row_number() OVER (PARTITION BY status ORDER BY k) - 1 AS ord FROM s UNION ALL SELECT relpath, 'removed', row_number() OVER (ORDER BY relpath) - 1 FROM known ANTI JOIN geo USING (relpath)",
         "parse_roundtrip": f"WITH {_GEO}, {_KNOWN} SELECT relpath, coalesce(array_to_string(comment, '|'), '') AS comment FROM geo LEFT JOIN known USING (relpath)",
         "lines_explode": f"WITH {_FENCED} SELECT doc_id, line_no, raw AS text FROM lines",
         "collapse_runs": f"WITH {_FENCED}, n AS (SELECT *, lead(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS nx FROM fenced) SELECT doc_id, line_no, text FROM n WHERE NOT regexp_full_match(text, '[│ ]*') OR (nx IS NOT NULL AND NOT regexp_full_match(nx, '[│ ]*'))",
         "fence_pairs": f"{pairs} SELECT doc_id, start_line, end_line, has_tree FROM blocks",
         "first_block": f"{pairs} SELECT doc_id, min(start_line) AS start_line, arg_min(end_line, start_line) AS end_line FROM blocks WHERE has_tree GROUP BY doc_id",
         "splice": f"WITH {_GEO}, {geo_arranged}, {_PREFIXED}, {rendered}, o AS ({ordered}), a AS (SELECT 0 AS part, r_regionkey::BIGINT AS pos, r_name AS line FROM region WHERE r_regionkey <= 1 UNION ALL SELECT 1, ord, line FROM o UNION ALL SELECT 2, r_regionkey, r_name FROM region WHERE r_regionkey >= 3) SELECT row_number() OVER (ORDER BY part, pos) - 1 AS ord, line FROM a",
-        "set_diff": "SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier",
+        "set_diff": "SELECT n_nationkey FROM nation EXCEPT SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'",
         "make_help": "SELECT n_nationkey AS doc_id, t AS target, 'About ' || n_name AS description, t || repeat(' ', greatest(0, 25 - length(t))) || 'About ' || n_name AS line FROM (SELECT *, lower(regexp_replace(n_name, '[^A-Za-z]', '_', 'g')) AS t FROM nation)",
     }

@@ -28,4 +28,4 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     got = rows(trees.queries()[name](spark, sf_dir).toPandas())
     want = rows(duck.execute(trees.oracle_sql()[name]).df())
     assert got == want
-    assert got[1] or name == "set_diff"
+    assert got[1]

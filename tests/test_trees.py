@@ -110,6 +110,36 @@ def test_parsing(spark):
     assert documented_in(spark, "├── a\n│                t") == {"a": ["t"]}
     assert documented_in(spark, "└── x <- y") == {"x <- y": []}
     assert documented_in(spark, "├── x/  # note\n│       │\n└── z") == {"x": ["note"], "z": []}
+    assert documented_in(spark, "├── \n└── a  # b  <- c") == {"a": ["b  <- c"]}
+    deep = "\n".join("    " * d + f"└── n{d}" for d in (0, 1, 2, 3, 1, 2, 0, 7))
+    assert sorted(documented_in(spark, deep)) == ["n0", "n0/n1", "n0/n1/n2", "n0/n1/n2/n3", "n0/n7"]
+    two = spark.createDataFrame([(1, "├── a\n│   └── x"), (2, "├── b\n│       └── y"), (3, None), (4, "")], "doc_id int, text string")
+    assert sorted((r["doc_id"], r["relpath"]) for r in parse.parse_tree(parse.lines_of(two)).collect()) == [(1, "a"), (1, "a/x"), (2, "b"), (2, "b/y")]
+
+
+def test_make_help(spark):
+    text = "## first line\nx:\n\n## Build it\n.PHONY: build\nbuild: dep\n\techo\nother: x\n## Too near\nnear:\n\n## One\n## Two\nboth: x\n\n## No target"
+    got = parse.make_help(lines(spark, text)).collect()
+    assert sorted((r["target"], r["description"]) for r in got) == [("both", "One"), ("build", "Build it")]
+    assert {r["line"] for r in got} == {"build" + " " * 20 + "Build it", "both" + " " * 21 + "One"}
+
+
+def test_sibling_windows_meet_at_their_edges(spark, monkeypatch):
+    rows = [(f"d/f{i:03}", i < 9) for i in range(40)] + [("d", True), ("e", True), ("e/only", False)]
+    entries = spark.createDataFrame(rows, "relpath string, is_dir boolean").repartition(5)
+    want = {r["relpath"]: (r["is_last"], r["spacer"]) for r in layout.siblings(entries).collect()}
+    assert want["d/f039"] == (True, False) and want["d/f008"] == (False, True) and want["d/f009"] == (False, True) and want["d/f000"] == (False, False) and want["e"] == (True, True)
+    for size in (1, 2, 7):
+        monkeypatch.setattr(layout, "_BUCKET", size)
+        got = layout.siblings(entries).collect()
+        assert len(got) == len(rows) and {r["relpath"]: (r["is_last"], r["spacer"]) for r in got} == want
+
+
+def test_numbering(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(9)
+    got = layout.numbered(rows, "k").collect()
+    assert sorted((r["k"], r["ord"]) for r in got) == [(i, i) for i in range(5000)]
+    assert layout.numbered(rows.limit(0), "k").columns == ["k", "ord"] and layout.numbered(rows.limit(0), "k").count() == 0
 
 
 def test_blocks(spark):
@@ -136,7 +166,7 @@ def test_update_and_export(spark, tmp_path):
     doc.write_bytes("# T\r\n```\r\n├── src   <- the code\r\n│            in Python\r\n└── gone  # old\r\n```\r\nend".encode())
     said = documents.update_directory_tree(spark, str(root), str(doc), max_levels=1)
     assert doc.read_bytes().decode() == "# T\n```\n├── data\n│\n├── src                       <- the code\n│                                in Python\n│\n├── .env\n├── .gitignore\n└── empty.txt\n```\nend\n"
-    assert said.splitlines() == [f"Updated '{doc}':", "Added (4):", "  + data", "  + .env", "  + .gitignore", "  + empty.txt", "Removed (1):", "  - gone"]
+    assert said.splitlines() == [f"Updated '{doc}':", "  Added (4):", "    + data", "    + .env", "    + .gitignore", "    + empty.txt", "  Removed (1):", "    - gone"]
     once = doc.read_text()
     documents.update_directory_tree(spark, str(root), str(doc), max_levels=1)
     assert doc.read_text() == once
@@ -149,6 +179,94 @@ def test_update_and_export(spark, tmp_path):
         documents.update_directory_tree(spark, str(root), str(tmp_path / "plain.md"))
 
 
+GOLDEN = {
+    "before": [
+        "# Tool",
+        "",
+        "```",
+        "├── LICENSE      <- Terms of use",
+        "├── Makefile     <- Commands like `make x`",
+        "├── README.md    <- Read this first.",
+        "├── data",
+        "│   ├── raw      <- As it came.",
+        "│   └── interim  <- Half way.",
+        "│",
+        "├── docs         <- Pages",
+        "│",
+        "├── project.toml  <- Settings of the ",
+        "│                   package and others",
+        "│",
+        "└── tool_pkg   <- The code.",
+        "    │",
+        "    ├── __init__.py    <- A package",
+        "    ├── steps                ",
+        "    │   ├── __init__.py ",
+        "    │   └── run.py     <- Runs          ",
+        "    │",
+        "    └── plots.py       <- Draws",
+        "```",
+        "",
+        "end",
+    ],
+    "after": [
+        "├── docs                      <- Pages",
+        "│   ├── more",
+        "│   │   └── index.md",
+        "│   │",
+        "│   └── site.yml",
+        "│",
+        "├── tool_pkg                  <- The code.",
+        "│   ├── steps",
+        "│   │   └── run.py            <- Runs",
+        "│   │",
+        "│   ├── __init__.py           <- A package",
+        "│   └── plots.py              <- Draws",
+        "│",
+        "├── Makefile                  <- Commands like `make x`",
+        "├── project.toml              <- Settings of the",
+        "│                                package and others",
+        "└── README.md                 <- Read this first.",
+    ],
+}
+
+
+def test_golden_update_by_the_command_line(spark, tmp_path, monkeypatch, capsys):
+    root = tmp_path / "p"
+    for name in ("tool_pkg/steps/run.py", "tool_pkg/__init__.py", "tool_pkg/plots.py", "docs/more/index.md", "docs/site.yml", "Makefile", "project.toml"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("")
+    readme = root / "README.md"
+    readme.write_text("\n".join(GOLDEN["before"]))
+    documents.main([str(readme), "--root", str(root), "--debug"])
+    assert readme.read_text().splitlines() == [*GOLDEN["before"][:3], *GOLDEN["after"], *GOLDEN["before"][-3:]]
+    said = capsys.readouterr().out.splitlines()
+    assert said[0] == f"[debug] Scanning root: {root}" and said[2:7] == ["    [dir]  docs", "    [dir]  tool_pkg", "    [file] Makefile", "    [file] project.toml", "    [file] README.md"]
+    assert said[7:] == [
+        f"Updated '{readme}':",
+        "  Added (3):",
+        *(f"    + docs/{x}" for x in ("more", "more/index.md", "site.yml")),
+        "  Removed (5):",
+        *(f"    - {x}" for x in ("LICENSE", "data", "data/interim", "data/raw", "tool_pkg/steps/__init__.py")),
+    ]
+    documents.main([str(readme), "--root", str(root)])
+    assert capsys.readouterr().out.splitlines()[1:] == ["  Added: none", "  Removed: none"]
+
+    monkeypatch.setattr("builtins.input", lambda prompt: pytest.fail("asked without need"))
+    documents.main(["-c", "--root", str(root), "--max-levels", "1", "--ext", "md"])
+    (fresh,) = root.glob("directory_structure_*.md")
+    assert fresh.read_text() == "```\n├── docs\n│\n├── tool_pkg\n│\n└── README.md\n```\n"
+    assert documents.default_file(str(root)) == str(fresh)
+    for answer, changed in (("n", False), ("yes", False), ("Y ", True)):
+        fresh.write_text("old")
+        monkeypatch.setattr("builtins.input", lambda prompt: answer)
+        documents.main(["-c", "--root", str(root), "--max-levels", "1"])
+        assert (fresh.read_text() != "old") == changed
+    documents.main(["-c", "new.md", "--root", str(root), "--no-gitignore"])
+    assert (root / "new.md").is_file()
+    with pytest.raises(SystemExit):
+        documents.main([])
+
+
 def test_stage_contracts(spark, tmp_path):
     assert set(stages.STAGES) == {"dataset", "features", "train", "predict", "plots"}
     with pytest.raises(NotImplementedError):
