@@ -18,15 +18,18 @@ import pyarrow.compute as pc
 
 #: Every character but space and newline that some engine counts as white space.
 _OTHER_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
-#: Texts that are not cut: white space of another kind, or not between two other characters.
-_WHOLE = f"[{_OTHER_SPACE}]|[ \n][ \n]|\\A[ \n]|[ \n]\\z"
+#: Texts that are not cut: white space of another kind, or not between two other characters;
+#: or with the mark below.
+_WHOLE = f"[\x01{_OTHER_SPACE}]|[ \n][ \n]|\\A[ \n]|[ \n]\\z"
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-#: What may close a word after a letter; it is a pre-token of its own.
-_STEM = f"(?s)\\A(?P<stem>.*[{_LATIN}])(?P<tail>[.,!?;:%&$*#|]+)\\z"
+#: What closes a word after a letter is a pre-token of its own; a mark before it, which no text
+#: that is cut may hold, makes it a piece.
+_MARK = "\x01"
+_TAIL = f"([{_LATIN}])([.,!?;:%&$*#|]+)( |\\z)"
 #: Words that share one encoding call; fixed, so that no call grows with the input.
 _GROUP = 200
 #: Bytes of the texts that are cut up at a time, so that their pieces stay few.
-_CHUNK = 1 << 22
+_CHUNK = 1 << 23
 
 
 def _byte_letters() -> dict[int, str]:
@@ -96,7 +99,7 @@ class WordEncoder:
     token, as the library has it by default; without, that of a special one is ordinary text.
     """
 
-    def __init__(self, path: str, max_words: int = 800_000, added_tokens: bool = False):
+    def __init__(self, path: str, max_words: int = 1_200_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -150,60 +153,54 @@ class WordEncoder:
                 sizes.append(np.array([*map(len, each)], np.int64))
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn(self, pool: _Pool, words: pa.Array, joint: str) -> np.ndarray:
-        """The places in ``pool`` of words that stand after ``joint``; new ones are encoded."""
-        coded = words.dictionary_encode()
-        place = pool.find(coded.dictionary)
-        at = np.flatnonzero(place < 0)
-        new = coded.dictionary.take(pa.array(at))
-        latin = pc.match_substring_regex(new, f"\\A[{_LATIN}]+\\z").to_numpy(zero_copy_only=False)
-        plain = pc.string_is_ascii(new).to_numpy(zero_copy_only=False)
+    def _add(self, pool: _Pool, words: pa.Array, joint: str) -> np.ndarray:
+        """Encode words new to ``pool``, which stand after ``joint``; their places."""
+        latin = pc.match_substring_regex(words, f"\\A[{_LATIN}]+\\z").to_numpy(zero_copy_only=False)
+        plain = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        place = np.zeros(len(words), np.int64)
         for own in (latin & plain, latin & ~plain, ~latin):
             if own.any():
-                place[at[own]] = len(pool) + np.arange(own.sum())
-                some = new.filter(pa.array(own))
+                place[own] = len(pool) + np.arange(own.sum())
+                some = words.filter(pa.array(own))
                 pool.add(some, *self._grouped(some, joint, bool(latin[own][0])))
+        return place
+
+    def _begin(self, words: pa.Array) -> np.ndarray:
+        """The places of words with nothing before them."""
+        coded = words.dictionary_encode()
+        place = self._bare.find(coded.dictionary)
+        new = np.flatnonzero(place < 0)
+        place[new] = self._add(self._bare, coded.dictionary.take(pa.array(new)), "")
         return place[coded.indices.to_numpy()]
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
-        """The places of distinct pieces that don't begin a text. A new one is taken apart into
-        its newline, what closes it, and the word between."""
-        pool, bare = self._spaced, self._bare
+        """The places of distinct pieces that don't begin a text: words after a space, and
+        what begins with a newline or the mark, whose rest has nothing before it."""
+        pool = self._spaced
         place = pool.find(pieces)
-        at = np.flatnonzero(place < 0)
-        if not len(at):
-            return place
-        new = pieces.take(pa.array(at))
-        found = pc.extract_regex(new, _STEM)
-        tailed, broken = found.is_valid(), pc.starts_with(new, "\n")
-        body = pc.if_else(tailed, pc.struct_field(found, "stem"), new)
-        body = pc.if_else(broken, pc.utf8_slice_codeunits(body, 1), body)
-        closed, lined = tailed.to_numpy(zero_copy_only=False), broken.to_numpy(zero_copy_only=False)
-        words, lines, tails = (np.zeros(len(new), np.int64) for _ in range(3))
-        words[~lined] = self._learn(pool, body.filter(pc.invert(broken)), " ")
-        lines[lined] = self._learn(bare, body.filter(broken), "")
-        tails[closed] = self._learn(bare, pc.struct_field(found, "tail").filter(tailed), "")
-        place[at] = words
-        if (joint := closed | lined).any():
-            place[at[joint]] = len(pool) + np.arange(joint.sum())
-            parts = [(np.tile(self._newline, int(lined.sum())), np.where(lined, len(self._newline), 0)[joint])]
-            for owner, places, own in ((pool, words, ~lined), (bare, lines, lined), (bare, tails, closed)):
-                mine = own & joint
-                sizes = np.zeros(len(new), np.int64)
-                sizes[mine] = owner.size[places[mine]]
-                parts.append((owner.take(places[mine]), sizes[joint]))
-            pool.add(new.filter(pa.array(joint)), *_joined(parts))
+        heads = [pc.starts_with(pieces, c).to_numpy(zero_copy_only=False) for c in ("\n", _MARK)]
+        spaced = np.flatnonzero((place < 0) & ~heads[0] & ~heads[1])
+        place[spaced] = self._add(pool, pieces.take(pa.array(spaced)), " ")
+        for head, ids in zip(heads, (self._newline, self._newline[:0])):
+            new = np.flatnonzero((place < 0) & head)
+            if len(new):
+                own = pieces.take(pa.array(new))
+                words = self._begin(pc.utf8_slice_codeunits(own, 1))
+                place[new] = len(pool) + np.arange(len(new))
+                before = np.tile(ids, len(new)), np.full(len(new), len(ids))
+                pool.add(own, *_joined([before, (self._bare.take(words), self._bare.size[words])]))
         return place
 
     def _cut(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of texts cut before each space or newline (a piece keeps its newline, not its space)."""
+        """Ids of texts cut before each space, newline and mark (a piece keeps all but its space)."""
         if len(self._bare) > self._max // 2:
             self._bare = _Pool()
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " \n"), _TAIL, rf"\1 {_MARK}\2\3")
+        lists = pc.split_pattern(texts, " ")
         edges = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.dictionary_encode()
         code, heads = coded.indices.to_numpy(), edges[:-1]
-        first = self._learn(self._bare, coded.dictionary.take(pa.array(code[heads])), "")
+        first = self._begin(coded.dictionary.take(pa.array(code[heads])))
         inner = np.ones(len(code), bool)
         inner[heads] = False
         used = np.zeros(len(coded.dictionary), bool)
