@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boughwork.llm.common import settle
+from boughwork.llm.common import discard, settle
 
 
 def _digest(edges: DataFrame) -> tuple[int, int]:
@@ -37,7 +37,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = settle(large, "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        old = current
         current = settle(small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
+        discard(old, large)
         after = _digest(current)
         if after == before:
             break

@@ -64,5 +64,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+#: The words of a text, and of each its runs of 13 words (of fewer words, all of them), joined by spaces.
+_OP9 = r"""
+WITH item AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+run AS (SELECT item, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0),
+pattern AS (SELECT DISTINCT item, size, array_to_string(w[i : i + size - 1], ' ') AS words FROM run),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+sizes AS (SELECT DISTINCT size FROM pattern),
+place AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, sizes WHERE len(w) >= size),
+hit AS (SELECT r, i, place.size, item FROM (SELECT r, i, size, array_to_string(w[i : i + size - 1], ' ') AS words FROM place) place JOIN pattern USING (words) WHERE place.size = pattern.size),
+word AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS k FROM hit) GROUP BY r),
+owner AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (r) LEFT JOIN owner USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB's SQL of what SQL can say; the others' tests hold them against brute force."""
+    return {"op9_benchmark_decontamination": _OP9}

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from boughwork.llm import decontaminate
+from boughwork.llm import decontaminate, queries
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -44,6 +44,20 @@ def test_tables_equal_brute_force(spark, sf_dir, max_bytes):
     assert any(h for _, _, h, _, _, _ in want)
 
 
+def test_query_equals_sql(spark):
+    import duckdb
+
+    sf_dir = "/root/testdata/sf0.01"
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    want = duck.execute(queries.oracle_sql()["op9_benchmark_decontamination"])
+    names = [d[0] for d in want.description]
+    got = queries.op9_benchmark_decontamination(spark, sf_dir)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
+
+
 def test_report_spans_and_edges(spark):
     words = "Alpha béta gamma1 delta epsilon zeta eta theta iota kappa lambda mu nu xi".split()
     items = [(1, " ".join(words)), (2, "Short Item"), (3, None), (4, "..."), (2, "short item"), (5, "xi xi xi")]

@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -117,6 +118,49 @@ def test_quality_counts_equal_brute_force(spark, sf_dir, edges):
     assert quality_rules.quality_rules(docs.limit(0)).count() == 0
 
 
+def reference_votes(text):
+    """Each rule of the list, from counts taken plainly."""
+    text = text or ""
+    n, chars, symbols, dup_lines, repeat = brute_counts(text)
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    closed = sum(bool(re.search("[.!?…:;\"”»][\x20\x09-\x0d]*\\Z", x)) for x in lines)
+    kinds = [unicodedata.category(c) for c in text]
+    upper, letters = kinds.count("Lu"), sum(k[0] == "L" for k in kinds)
+
+    def vote(keep, reject):
+        return 0 if reject else 1 if keep else None
+
+    return (
+        vote(n > 0 and 50 * symbols <= n, 5 * symbols > n),
+        vote(n >= 20 and 20 * repeat <= n, 10 * repeat > 3 * n),
+        vote(len(lines) >= 3 and dup_lines == 0, len(lines) >= 4 and 2 * dup_lines > len(lines)),
+        vote(letters > 0 and 5 * upper <= letters, letters > 0 and 2 * upper > letters),
+        vote(n > 0 and 3 * n <= chars <= 9 * n, n > 0 and not 2 * n <= chars <= 14 * n),
+        vote(len(lines) > 0 and 2 * closed >= len(lines), len(lines) >= 3 and 10 * closed < len(lines)),
+        vote(chars > 0 and 4 * letters >= 3 * chars, chars > 0 and 2 * letters < chars),
+        vote(n >= 50 and 10 * len({*words}) >= 3 * n, n >= 50 and 10 * len({*words}) < n),
+    )
+
+
+def test_posteriors_equal_a_computation_by_document(spark, sf_dir):
+    """Expectation-maximisation over single documents, as arrays, against that over patterns."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("n_words", F.lit("clash")).withColumn("symbols", F.lit(1))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    votes = np.array([[np.nan if v is None else v for v in reference_votes(t)] for t in texts.values()])
+    belief = np.where((votes == 0).any(axis=1), 0.2, 0.95)
+    for _ in range(50):
+        share = (belief.sum() + 9) / (len(belief) + 10)
+        good, bad = [[((b[:, None] * (votes == x)).sum(axis=0)) for x in (0, 1)] for b in (belief, 1 - belief)]
+        on_good, on_bad = (good[1] + 19) / (good[0] + good[1] + 20), (bad[1] + 1) / (bad[0] + bad[1] + 2)
+        chance = [s * np.prod(np.where(np.isnan(votes), 1, np.where(votes == 1, r, 1 - r)), axis=1) for s, r in ((share, on_good), (1 - share, on_bad))]
+        belief = chance[0] / (chance[0] + chance[1])
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs).collect()}
+    for doc, want in zip(texts, belief):
+        assert np.isclose(got[doc]["posterior"], want, atol=1e-6)
+        assert got[doc]["kept"] == (not got[doc]["base_failed"] and want >= 0.5)
+
+
 def test_estimates_find_good_and_bad_rules():
     rng = random.Random(1)
     counts = {}

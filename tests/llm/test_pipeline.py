@@ -38,3 +38,14 @@ def test_empty_and_odd_documents(spark, sf_dir):
         for _, stage in pipeline.STAGES[:-1]:
             assert stage(spark, table, sf_dir).columns == docs.columns
             assert stage(spark, table, sf_dir).count() <= table.count()
+        name, packed = pipeline.STAGES[-1]
+        pieces = packed(spark, table, sf_dir).collect()
+        assert sum(r["start"] == 0 for r in pieces) == table.count() and all(r["length"] > 0 for r in pieces)
+
+
+def test_null_ids_are_filtered_by_content(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    rows = [(None, item), (None, item), (7, item), (None, "a clean text of a few words"), (None, "a clean text of a few words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [tuple(r) for r in pipeline.decontaminated(spark, docs, sf_dir).collect()] == rows[3:]
+    assert sorted(map(tuple, pipeline.near_duplicates(spark, docs, sf_dir).collect()), key=str) == sorted([(7, item), rows[3]], key=str)
