@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boughwork.llm import decontaminate, packing, quality_fm, secret_scan, simhash
-from boughwork.llm.common import fold, settle, table
+from boughwork.llm.common import discard, fold, settle, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one of the smallest doc_id."""
+    """One document of each group stays: the one of the smallest doc_id, those without one last."""
     return simhash.drop_near_duplicates(docs)
 
 
@@ -35,7 +35,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are masked and n_chars counts the new text."""
-    clean = secret_scan.redact(docs)
+    clean = secret_scan.redact(docs, "source" if "source" in docs.columns else None)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
@@ -57,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
