@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from boughwork.functions import ignore, paths
 from boughwork.operators import documented, filters, layout, parse
 from boughwork.plans import documents, stages
-from boughwork.sources.directory import read_directory
+from boughwork.sources.directory import read_directory, read_lines
 
 
 def tree(spark, text):
@@ -273,6 +273,25 @@ def test_stage_contracts(spark, tmp_path):
         stages.STAGES["train"].run(spark, stages.Paths(tmp_path))
 
 
+def test_stage_reads_and_writes_its_files(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    (tmp_path / "data/raw").mkdir(parents=True)
+    (tmp_path / "data/raw/dataset.csv").write_text("a,b\n1,x\n2,\n")
+    where, schema = stages.Paths(tmp_path), StructType.fromDDL("a int, b string")
+    stages.STAGES["dataset"].run(spark, where, {"dataset.csv": schema}, lambda rows: rows.withColumn("c", F.col("a") * 2))
+    got = spark.read.csv(str(where.of("processed") / "dataset.csv"), header=True).collect()
+    assert sorted((r["a"], r["b"], r["c"]) for r in got) == [("1", "x", "2"), ("2", None, "4")]
+    assert [where.of(n).relative_to(tmp_path).as_posix() for n in ("interim", "external", "models", "figures")] == ["data/interim", "data/external", "models", "reports/figures"]
+
+
+def test_lines_of_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\r\ntwo\n")
+    (tmp_path / "b.txt").write_text("")
+    got = read_lines(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"].rpartition("/")[2], r["line_no"], r["text"]) for r in got) == [("a.txt", 0, "one"), ("a.txt", 1, "two")]
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
