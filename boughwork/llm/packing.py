@@ -273,7 +273,8 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int =
     shard of about ``shard_ids`` ids, whose BM25 index (terms are token ids; a query is all
     terms of a document, without ``end_id``; weights are those of the whole corpus) orders
     them, and the order is cut into windows. Neighbours in another shard are not found: the
-    README has the measured recall. A window that a
+    README has the measured recall; with ``shard_ids`` of the corpus's ids or more there is
+    one shard, and the search is exact. A window that a
     shard leaves open goes on with the next shard; a partition's last ids become sequences of
     powers of two, so no sequence needs padding. ``sequence_id`` is unique, ``offset`` gapless
     from 0. Null doc_ids and repeated rows are documents of their own; an empty table gives
@@ -289,6 +290,6 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int =
     keys = [f"key{k}" for k in range(_KEYS)]
     keyed = encoded.withColumn("at", F.monotonically_increasing_id())
     keyed = keyed.mapInArrow(_keyed(held), "doc_id long, n long, ids binary, at long, " + ", ".join(f"{k} long" for k in keys))
-    parts = 1 + int(statistics.documents * (statistics.mean + 1)) // _PARTITION_IDS
+    parts = 1 + int(statistics.documents * (statistics.mean + 1)) // max(_PARTITION_IDS, shard_ids)
     dealt = keyed.repartitionByRange(parts, *keys, "at").sortWithinPartitions(*keys, "at")
     return dealt.select("doc_id", "n", "ids").mapInArrow(_pack(held, window, end_id, shard_ids, with_ids), schema)

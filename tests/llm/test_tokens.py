@@ -187,6 +187,32 @@ def test_statistics_and_neighbours_span_partitions(spark, plain):
         assert np.allclose(scores, wanted[more < 50]) and places.tolist() == more[more < 50].tolist()
 
 
+def test_one_shard_is_the_search_over_the_corpus(spark, plain, sf_dir, monkeypatch):
+    """Each document that follows a seed in its window is the seed's best unused neighbour by
+    BM25 of the whole table, term by term."""
+    monkeypatch.setattr(packing, "_PARTITION_IDS", 5000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars < 1500")
+    rows = packing.pack_documents(docs, window=4096, shard_ids=10**9).collect()
+    order = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
+    assert len({r["sequence_id"] >> 40 for r in rows}) == 1 and len(order) == docs.count()
+    ids = {r["doc_id"]: np.array(plain(r["text"])) for r in docs.collect()}
+    names = list(ids)
+    corpus = list(ids.values())
+    free, filled, seed = set(names), 0, None
+    for doc in order:
+        if seed is not None:
+            scores = dict(zip(names, brute_bm25(corpus, names.index(seed))))
+            best = max((scores[d] for d in free), default=0)
+            assert best == 0 or scores[doc] >= best - 1e-6
+        if seed is None or best == 0:
+            seed, filled = doc, len(ids[doc]) + 1 if seed is None else filled + len(ids[doc]) + 1
+        else:
+            filled += len(ids[doc]) + 1
+        free.discard(doc)
+        if filled >= 4096:
+            filled, seed = filled % 4096, doc
+
+
 def test_operators_take_added_tokens_as_the_library_does(spark):
     as_loaded = Tokenizer.from_file(default_vocabulary())
     rng = random.Random(4)
