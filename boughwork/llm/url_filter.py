@@ -138,7 +138,7 @@ def features(df: DataFrame, url: str, statistics: Statistics) -> DataFrame:
     return df.withColumns({k: v.cast("double") for k, v in found.items()}).drop("_whole", "_host", "_path", "_tail")
 
 
-def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int = 20, depth: int = 4) -> tuple[GBTClassificationModel, Statistics]:
+def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int = 10, depth: int = 4) -> tuple[GBTClassificationModel, Statistics]:
     """Fit the trees on labelled urls, which are a bounded list of the caller's.
 
     The suffix statistics that a url trains with are those of the other half of the list, so
@@ -150,8 +150,10 @@ def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int =
         table = spark.createDataFrame([(u, float(y)) for u, y in own], "url string, label double")
         part = features(table, "url", suffix_statistics(other))
         data = part if data is None else data.unionByName(part)
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data.coalesce(1))
-    return GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(data.select("features", "label")), suffix_statistics(labelled)
+    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data.coalesce(1)).select("features", "label").cache()
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(data)
+    data.unpersist()
+    return model, suffix_statistics(labelled)
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled: Sequence[tuple[str, int]] | None = None) -> DataFrame:
