@@ -29,7 +29,7 @@ _TAIL = f"([{_LATIN}])([.,!?;:%&$*#|]+)( |\\z)"
 #: Words that share one encoding call; fixed, so that no call grows with the input.
 _GROUP = 200
 #: Bytes of the texts that are cut up at a time, so that their pieces stay few.
-_CHUNK = 1 << 23
+_CHUNK = 1 << 22
 
 
 def _byte_letters() -> dict[int, str]:
@@ -99,7 +99,7 @@ class WordEncoder:
     token, as the library has it by default; without, that of a special one is ordinary text.
     """
 
-    def __init__(self, path: str, max_words: int = 1_200_000, added_tokens: bool = False):
+    def __init__(self, path: str, max_words: int = 800_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
