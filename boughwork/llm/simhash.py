@@ -233,7 +233,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blo
     least = settle(prints.groupBy("fp").agg(F.min(F.struct(*first)).alias("row")), "representatives")
     nodes = connected_components(links(least.select("fp"), radius, blocks)).withColumnRenamed("node", "fp")
     keep = least.join(nodes, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("row").alias("row"))
-    keep = keep.select(F.col("row.doc_id").alias("_kept_id"), F.col("row.text_hash").alias("_kept_hash"))
-    named = docs.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    same = named["doc_id"].cast("long").eqNullSafe(keep["_kept_id"]) & (named["_text_hash"] == keep["_kept_hash"])
-    return named.join(keep, same, "left_semi").drop("_text_hash")
+    # ids that are never null, so that one shuffle of the texts does for both repeats and the join
+    key = ["_unnamed", "_id", "_text_hash"]
+    keep = keep.select(F.col("row.unnamed").alias(key[0]), F.coalesce("row.doc_id", F.lit(0)).alias(key[1]), F.col("row.text_hash").alias(key[2]))
+    named = docs.withColumns({key[0]: F.col("doc_id").isNull(), key[1]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), key[2]: F.xxhash64("text")})
+    return named.dropDuplicates(key).join(keep, key, "left_semi").select(*docs.columns)
