@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boughwork.llm import decontaminate, html_extract, packing, quality_fm, quality_rules, secret_scan, simhash, token_files, toxicity, url_filter
+from boughwork.llm import decontaminate, hard_negatives, html_extract, packing, quality_fm, quality_rules, secret_scan, simhash, spelling, token_files, toxicity, url_filter, warc
 from boughwork.llm.common import fold, table
 
 
@@ -60,6 +60,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -84,6 +97,27 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN word USING (r) LEFT JOIN owner USING (r)"""
 
 
+#: Rows as they are scored, all scores of anchors, the positives, and what lies in their windows.
+_OP11 = """
+WITH row AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score FROM row a JOIN row b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+found AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+  FROM positive JOIN pair USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 10"""
+
+#: Payloads of 100 bytes or more refer to the smallest page_id of their like.
+_OP12 = """
+WITH page AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+told AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM page)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes < 100 OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM told"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB's SQL of what SQL can say; the others' tests hold them against brute force."""
-    return {"op9_benchmark_decontamination": _OP9}
+    return {"op9_benchmark_decontamination": _OP9, "op11_hard_negatives": _OP11, "op12_warc_index": _OP12}
