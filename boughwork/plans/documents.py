@@ -18,12 +18,12 @@ from boughwork.sources.directory import read_directory
 from boughwork.sources.scratch import settle
 
 
-def _rules(root: str, use_gitignore: bool) -> list[Rule]:
+def _rules(root: str, use_gitignore: bool, mode: str) -> list[Rule]:
     path = os.path.join(root, ".gitignore")
     if not use_gitignore or not os.path.isfile(path):
         return []
     with open(path, encoding="utf-8") as f:
-        return parse_rules(f.read().splitlines())
+        return parse_rules(f.read().splitlines(), mode)
 
 
 def _write(path: str, text: str) -> None:
@@ -45,7 +45,7 @@ def _lines(rendered: DataFrame) -> list[str]:
 def _entries(spark: SparkSession, root: str, max_levels: int, extensions, ignore_dirs, use_gitignore: bool, documented: DataFrame | None, mode: str) -> DataFrame:
     dirs = filters.IGNORED_DIRS if ignore_dirs is None else tuple(ignore_dirs)
     found = read_directory(spark, root, max_levels, dirs)
-    return filters.visible(found, max_levels, extensions, dirs, _rules(root, use_gitignore), documented, mode)
+    return filters.visible(found, max_levels, extensions, dirs, _rules(root, use_gitignore, mode), documented, mode)
 
 
 def export_directory_tree(spark: SparkSession, root_dir: str, output_file: str | None = None, extensions: str | Iterable[str] | None = None, max_levels: int = 3, alignment_col: int = 30, ignore_dirs: Iterable[str] | None = None, use_gitignore: bool = True, mode: str = "git") -> str:

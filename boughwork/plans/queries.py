@@ -140,6 +140,33 @@ def ignore_git(spark, sf_dir):
     return web(spark, sf_dir).select("relpath", ignore.ignored(F.col("relpath"), F.col("is_dir"), rules, "git").alias("ignored"))
 
 
+def odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries named with the letters that mean something in a rule, a file for each document."""
+    kinds = ["#", "!", "a*b", "7x", "tail", "Up", "[", "back\\"]
+    kind, key = F.element_at(F.array(*map(F.lit, kinds)), (F.col("doc_id") % 8 + 1).cast("int")), F.col("doc_id").cast("string")
+    name = F.concat(kind, key, F.when(F.col("doc_id") % 8 == 4, " ").when(F.col("doc_id") % 8 == 6, "]").otherwise(""))
+    return _table(spark, sf_dir, "documents").select(F.concat_ws("/", "lang", name).alias("relpath"), F.lit(False).alias("is_dir"))
+
+
+_ESCAPES = [r"\#*[0-6]", r"\!*[^1-4]", r"a\*b*", "!a[*]b*[!0-4]", "[[:digit:]]x*", "!?[[:alpha:]]*[[:digit:]]1", "tail*\\ ", "[[:upper:]][![:upper:]]*", r"!*[\5-7]", r"\[*[]]", r"[\]\[]?[4]]", "!*[[:nothing:]]*", r"back\\*[\1\3]", "open\\"]
+
+
+def ignore_escapes(spark, sf_dir):
+    rules = ignore.parse_rules(_ESCAPES)
+    return odd_names(spark, sf_dir).select("relpath", ignore.ignored(F.col("relpath"), F.col("is_dir"), rules).alias("ignored"))
+
+
+def _many_rules() -> list[ignore.Rule]:
+    """Thousands of rules about single documents, after one about a language."""
+    lines = ["*.[Ee][Nn]", *(f"!{k}.EN" for k in range(0, 20_000, 6)), *(f"{k}.*" for k in range(3, 40_000, 9)), *(f"!/*/{k}.?[a-z]" for k in range(3, 30_000, 27))]
+    return ignore.parse_rules(lines)
+
+
+def ignore_many(spark, sf_dir):
+    verdict = ignore.ignored(F.col("relpath"), F.col("is_dir"), _many_rules())
+    return docs_tree(spark, sf_dir).select("relpath", verdict.alias("ignored"))
+
+
 def documented_bypass(spark, sf_dir):
     entries = geo(spark, sf_dir)
     return filters.by_rules(entries, ignore.parse_rules(["*A*", "!*Supplier*"]), _known(entries), "simple")
@@ -233,7 +260,7 @@ def make_help(spark, sf_dir):
 
 
 _NAMES = """tree_preorder tree_is_last tree_spacers tree_prefix tree_render tree_render_comments tree_depth_limit tree_recursive_expand filter_ext
-filter_names filter_prune ignore_last_match ignore_git documented_bypass comment_attach diff_found diff_added diff_removed diff_counts diff_ordered parse_roundtrip
+filter_names filter_prune ignore_last_match ignore_git ignore_escapes ignore_many documented_bypass comment_attach diff_found diff_added diff_removed diff_counts diff_ordered parse_roundtrip
 lines_explode collapse_runs fence_pairs first_block splice set_diff make_help""".split()
 
 
@@ -265,7 +292,13 @@ blocks AS (SELECT doc_id, (n - 1) // 2 AS pair, min(line_no) FILTER (WHERE fence
       WHEN regexp_full_match(relpath, CASE WHEN is_dir THEN '(.*/)?blog[.][^/]*[.]example[.]net(/.*)?' ELSE '(.*/)?blog[.][^/]*[.]example[.]net/.*' END) THEN false
       WHEN regexp_full_match(relpath, CASE WHEN is_dir THEN '(.*/)?blog[.][^/]*(/.*)?' ELSE '(.*/)?blog[.][^/]*/.*' END) THEN true
       WHEN regexp_full_match(relpath, '(.*/)?[^/]*[.]html(/.*)?') THEN true ELSE false END"""
+    name = "string_split(relpath, '/')[-1]"
+    hits = [r"#.*[0-6]", r"!.*[^1-4]", r"a\*b.*", r"a\*b.*[^0-4]", r"[0-9]x.*", r".[A-Za-z].*[0-9]1", r"tail.* ", r"[A-Z][^A-Z].*", r".*[5-7]", r"\[.*\]", r"[\]\[].?4\]", None, r"back\\.*[13]", None]
+    last = " ".join(f"WHEN regexp_full_match(name, '{hit}') THEN {not rule.startswith('!')}" for rule, hit in reversed(list(zip(_ESCAPES, hits))) if hit)
+    escapes = rf"""SELECT lang || '/' || name AS relpath, CASE {last} ELSE false END AS ignored FROM (SELECT lang, ['#', '!', 'a*b', '7x', 'tail', 'Up', '[', 'back\'][doc_id % 8 + 1] || doc_id || CASE doc_id % 8 WHEN 4 THEN ' ' WHEN 6 THEN ']' ELSE '' END AS name FROM documents)"""
     return {
+        "ignore_escapes": escapes,
+        "ignore_many": f"WITH {_DOCS}, d AS (SELECT relpath, string_split({name}, '.')[1]::BIGINT AS id, string_split({name}, '.')[2] AS ext FROM docs_tree) SELECT relpath, CASE WHEN id % 27 = 3 AND id < 30000 AND regexp_full_match(ext, '.[a-z]') THEN false WHEN id % 9 = 3 AND id < 40000 THEN true WHEN id % 6 = 0 AND id < 20000 AND ext = 'EN' THEN false ELSE lower(ext) = 'en' END AS ignored FROM d",
         "tree_preorder": f"WITH {_WEB} SELECT row_number() OVER (ORDER BY {_KEY}) - 1 AS ord, relpath FROM web",
         "tree_is_last": f"WITH {_WEB}, {web_arranged} SELECT relpath, is_last FROM arranged",
         "tree_spacers": f"WITH {_WEB}, {web_arranged} SELECT relpath, spacer FROM arranged",

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,66 @@ def test_ignore_rules(spark, rules, text, mode, gone):
     assert names(entries.where(hit)) == gone
 
 
+@pytest.mark.parametrize(
+    "rules,gone",
+    [
+        ([r"\#notes"], ["#notes"]),
+        ([r"\!keep"], ["!keep"]),
+        ([r"a\*b"], ["a*b"]),
+        (["[[:digit:]]x"], ["1x"]),
+        (["x\\ "], ["x "]),
+        (["x\\   "], ["x "]),
+        (["a*b   "], ["a*b", "axb"]),
+        ([r"\a*b"], ["a*b", "axb"]),
+        (["ends\\"], []),
+        ([r"[\!#]*"], ["!keep", "#notes"]),
+        (["[!!#]*s"], ["]bars", "bars", "ends"]),
+        (["[^!#]*s"], ["]bars", "bars", "ends"]),
+        (["[]x]*s"], ["]bars"]),
+        ([r"[\]]*"], ["]bars"]),
+        (["[a-b-]*s"], ["bars"]),
+        (["[z-a]*"], []),
+        (["[[:upper:][:digit:]]*"], ["1x", "Dir", "Dir/in"]),
+        (["[[:nothing:]]*", "[[:alpha:]"], []),
+        (["D?r/**"], ["Dir/in"]),
+        (["Dir[!a]in", "Dir?in", "Dir[/]in"], []),
+        (["/*", "!D*", "!/axb"], ["!keep", "#notes", "1x", "]bars", "a*b", "bars", "ends", "x "]),
+        (["**", "!**/in"], ["!keep", "#notes", "1x", "Dir", "]bars", "a*b", "axb", "bars", "ends", "x "]),
+    ],
+)
+def test_published_ignore_rules(spark, rules, gone, monkeypatch):
+    found = ["#notes", "!keep", "a*b", "axb", "1x", "x ", "]bars", "bars", "ends", "Dir", "Dir/in"]
+    entries = spark.createDataFrame([(p, p == "Dir") for p in found], "relpath string, is_dir boolean")
+    for many in (ignore.MANY_RULES, 0):
+        monkeypatch.setattr(ignore, "MANY_RULES", many)
+        hit = ignore.ignored(F.col("relpath"), F.col("is_dir"), ignore.parse_rules(rules))
+        assert names(entries.where(hit)) == sorted(gone)
+
+
+@pytest.mark.parametrize("mode", ["git", "simple"])
+def test_many_rules_in_one_structure(spark, mode, monkeypatch):
+    rng = random.Random(4)
+    bits = ["a", "b", "ab", "*", "a*", "*b", "?", "[ab]", "[!a]b", "**", "a.b", "*.b"]
+    lines = [rng.choice(["", "", "!"]) + rng.choice(["", "", "/"]) + "/".join(rng.choices(bits, k=rng.choice([1, 1, 2, 3]))) + rng.choice(["", "", "/"]) for _ in range(60)]
+    rules = ignore.parse_rules(lines, mode)
+    found = sorted({"/".join(rng.choices(["a", "b", "ab", "ba", "a.b", "c", "bb.b"], k=rng.randint(1, 4))) for _ in range(300)})
+    entries = spark.createDataFrame([(p, len(p) % 2 == 0) for p in found], "relpath string, is_dir boolean")
+    for some in (rules, rules[:20], rules[40:], rules[:3]):
+        monkeypatch.setattr(ignore, "MANY_RULES", 64)
+        want = names(entries.where(ignore.ignored(F.col("relpath"), F.col("is_dir"), some, mode)))
+        monkeypatch.setattr(ignore, "MANY_RULES", 0)
+        hit = entries.where(ignore.ignored(F.col("relpath"), F.col("is_dir"), some, mode))
+        assert names(hit) == want
+
+
+def test_ten_thousand_rules_are_one_expression(spark):
+    rules = ignore.parse_rules([f"n{i}.*" if i % 3 else f"!n{i}.txt" for i in range(10_000)])
+    entries = spark.range(20_000).selectExpr("concat('d/n', id, '.txt') as relpath", "false as is_dir")
+    hit = entries.where(ignore.ignored(F.col("relpath"), F.col("is_dir"), rules))
+    assert hit.count() == sum(i % 3 > 0 for i in range(10_000))
+    assert len(hit._jdf.queryExecution().optimizedPlan().toString()) < 2000
+
+
 @pytest.mark.parametrize("mode,kept", [("simple", ["data", "data/raw", "data/tmp"]), ("git", ["data", "data/raw"])])
 def test_documented_entries_stay(spark, mode, kept):
     entries = tree(spark, "data/ data/raw/ data/tmp/")
