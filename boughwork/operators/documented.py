@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boughwork.operators.layout import numbered, preorder
+from boughwork.functions import paths
+from boughwork.operators.layout import numbered
 
 
 def attach(entries: DataFrame, documented: DataFrame) -> DataFrame:
     """Adds ``comment`` (empty where there is none) and ``found`` (the entry is documented)."""
-    known = documented.select("relpath", F.col("comment").alias("_comment"), F.lit(True).alias("_known"))
-    joined = entries.join(known, "relpath", "left")
-    comment = F.coalesce("_comment", F.array().cast("array<string>"))
-    return joined.select(*entries.columns, comment.alias("comment"), F.col("_known").isNotNull().alias("found"))
+    own = entries.select(F.struct("*").alias("row"), F.col("relpath").alias("path"))
+    known = documented.select(F.col("relpath").alias("known"), F.col("comment").alias("said"))
+    others = [F.col(f"row.`{c}`") for c in entries.columns if c.lower() not in ("comment", "found")]
+    said = F.coalesce("said", F.array().cast("array<string>"))
+    return own.join(known, F.col("path") == F.col("known"), "left").select(*others, said.alias("comment"), F.col("known").isNotNull().alias("found"))
 
 
 def found(entries: DataFrame, documented: DataFrame) -> DataFrame:
@@ -30,9 +32,15 @@ def removed(entries: DataFrame, documented: DataFrame) -> DataFrame:
 
 
 def difference(entries: DataFrame, documented: DataFrame) -> DataFrame:
-    """``(path, status, ord)``: found and added in pre-order, removed by code point."""
-    out = None
-    for status, rows in (("found", preorder(found(entries, documented))), ("added", preorder(added(entries, documented))), ("removed", numbered(removed(entries, documented), "relpath"))):
-        part = rows.select(F.col("relpath").alias("path"), F.lit(status).alias("status"), "ord")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """``(path, status, ord)``: found and added in pre-order, removed by code point.
+
+    One outer join tells the three apart, and one sort numbers each for itself.
+    """
+    shown = entries.select(F.col("relpath").alias("shown"), "is_dir")
+    known = documented.select(F.col("relpath").alias("known")).distinct()
+    both = shown.join(known, F.col("shown") == F.col("known"), "full")
+    status = F.when(F.col("known").isNull(), "added").when(F.col("shown").isNull(), "removed").otherwise("found")
+    told = both.select(F.coalesce("shown", "known").alias("path"), "is_dir", status.alias("status"))
+    by_name = F.array(F.struct(F.lit(False).alias("f"), F.lit("").alias("l"), F.col("path").alias("n")))
+    order = F.when(F.col("status") == "removed", by_name).otherwise(paths.preorder_key(F.col("path"), F.coalesce("is_dir", F.lit(False))))
+    return numbered(told, order, within=F.col("status")).select("path", "status", "ord")

@@ -1,5 +1,6 @@
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,22 +179,129 @@ def test_parsing(spark):
     assert sorted((r["doc_id"], r["relpath"]) for r in parse.parse_tree(parse.lines_of(two)).collect()) == [(1, "a"), (1, "a/x"), (2, "b"), (2, "b/y")]
 
 
-def test_make_help(spark):
+def plain_parse(text):
+    """Line after line, as the documents say."""
+    stack, found, last = [], {}, None
+    for line in text:
+        if not line.strip("│ "):
+            continue
+        groups = re.match("(?:│   |    )*", line)[0]
+        rest = line[len(groups) :]
+        if rest[:4] in (layout.TEE, layout.ELBOW) and len(rest) > 4:
+            name, _, said = (rest[4:] + "  <-").partition("  <-")
+            stack = [*stack[: len(groups) // 4], name.rstrip()]
+            last = "/".join(stack)
+            said = said.removesuffix("  <-").strip()
+            found[last] = [said] if said else []
+        elif last is not None and (rest.startswith(" ") or groups.endswith("    ")):
+            found[last].append(rest.strip())
+    return found
+
+
+def test_long_texts_are_read_in_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = {}
+    for key in (1, 2, 3, None):
+        text = []
+        for i in range(rng.choice([40, 90])):
+            groups = "".join(rng.choices(["│   ", "    "], k=rng.choice([0, 0, 1, 2, 3, 6])))
+            text.append(rng.choice([f"{groups}├── n{rng.randint(0, 5)}", f"{groups}└── m{i}  <- c{i}", f"{groups}  more {i}", "│   │", "```", f"{groups}said", "", f"├── t{i}"]))
+        texts[key] = text
+    rows = [(k, i, line) for k, text in texts.items() for i, line in enumerate(text)]
+    table = spark.createDataFrame(rows, "doc_id int, line_no int, text string").repartition(7)
+    want = {k: plain_parse(text) for k, text in texts.items()}
+    blocks = sorted(map(tuple, parse.fenced_blocks(table).collect()), key=str)
+    left = sorted(map(tuple, parse.collapse_spacers(table).collect()), key=str)
+    assert len(blocks) > 10
+    for size in (1, 2, 7, 100_000):
+        monkeypatch.setattr(parse, "_LINES", size)
+        got = {k: {} for k in texts}
+        for r in parse.parse_tree(table).collect():
+            assert r["relpath"] not in got[r["doc_id"]]
+            got[r["doc_id"]][r["relpath"]] = r["comment"]
+        assert got == want
+        assert sorted(map(tuple, parse.fenced_blocks(table).collect()), key=str) == blocks
+        assert sorted(map(tuple, parse.collapse_spacers(table).collect()), key=str) == left
+
+
+def test_the_plan_of_parsing_does_not_grow_with_depth(spark):
+    def size(depth):
+        text = "\n".join("    " * d + f"└── n{d}" for d in range(depth))
+        found = parse.parse_tree(lines(spark, text))
+        assert found.count() == depth
+        return len(found._jdf.queryExecution().optimizedPlan().toString())
+
+    assert abs(size(2) - size(60)) < 200
+
+
+def test_make_help(spark, monkeypatch):
+    for size in (100_000, 1, 3):
+        monkeypatch.setattr(parse, "_LINES", size)
+        make_help(spark)
+
+
+def make_help(spark):
     text = "## first line\nx:\n\n## Build it\n.PHONY: build\nbuild: dep\n\techo\nother: x\n## Too near\nnear:\n\n## One\n## Two\nboth: x\n\n## No target"
     got = parse.make_help(lines(spark, text)).collect()
     assert sorted((r["target"], r["description"]) for r in got) == [("both", "One"), ("build", "Build it")]
     assert {r["line"] for r in got} == {"build" + " " * 20 + "Build it", "both" + " " * 21 + "One"}
 
 
-def test_sibling_windows_meet_at_their_edges(spark, monkeypatch):
-    rows = [(f"d/f{i:03}", i < 9) for i in range(40)] + [("d", True), ("e", True), ("e/only", False)]
-    entries = spark.createDataFrame(rows, "relpath string, is_dir boolean").repartition(5)
-    want = {r["relpath"]: (r["is_last"], r["spacer"]) for r in layout.siblings(entries).collect()}
-    assert want["d/f039"] == (True, False) and want["d/f008"] == (False, True) and want["d/f009"] == (False, True) and want["d/f000"] == (False, False) and want["e"] == (True, True)
-    for size in (1, 2, 7):
-        monkeypatch.setattr(layout, "_BUCKET", size)
-        got = layout.siblings(entries).collect()
-        assert len(got) == len(rows) and {r["relpath"]: (r["is_last"], r["spacer"]) for r in got} == want
+def test_chunks_meet_at_their_edges(spark, monkeypatch):
+    rng = random.Random(6)
+    found = {"d", "e", "e/only"} | {f"d/f{i:03}" for i in range(40)}
+    for _ in range(150):
+        parts = rng.choices("abcd", k=rng.randint(1, 6))
+        found |= {"/".join(parts[:i]) for i in range(1, len(parts) + 1)}
+    dirs = {p.rpartition("/")[0] for p in found} | {f"d/f{i:03}" for i in range(9)}
+    rows = [(p, p in dirs, 7) for p in sorted(found) if p != "a/b"]  # an ancestor that isn't listed
+    entries = spark.createDataFrame(rows, "relpath string, is_dir boolean, _range int").repartition(5)
+    own = {p: d for p, d, _ in rows}
+    kids = {}
+    for p in sorted(own, key=lambda p: (not own[p], p.rpartition("/")[2])):
+        kids.setdefault(p.rpartition("/")[0], []).append(p)
+    want = {}
+    for group in kids.values():
+        for i, p in enumerate(group):
+            above = ["/".join(p.split("/")[:k]) for k in range(1, p.count("/") + 1)]
+            bars = "".join(layout.BLANK if kids[a.rpartition("/")[0]][-1] == a else layout.BAR for a in above if a in own)
+            want[p] = (p == group[-1], i > 0 and own[group[i - 1]], bars)
+    text = drawn(layout.render(entries.select("relpath", "is_dir")))
+    for bits in (0, 1, 3, 16):
+        monkeypatch.setattr(layout, "CHUNK_BITS", bits)
+        both = layout.prefixed(layout.siblings(entries))
+        assert both.columns == ["relpath", "is_dir", "_range", "parent", "is_last", "spacer", "prefix"]
+        got = both.collect()
+        assert len(got) == len(rows) and {r["relpath"]: (r["is_last"], r["spacer"], r["prefix"]) for r in got} == want
+        assert {r["_range"] for r in got} == {7} and drawn(layout.render(entries)) == text
+
+
+HELPERS = ["row", "place", "chunk", "more", "given", "line", "key0", "group", "part", "of", "in", "before", "_key", "_at", "_range", "_place", "_k1", "_bucket", "at", "known", "_known", "shown", "k", "n", "_next", "_comment", "_gone", "tag", "region"]
+
+
+def test_helper_names_may_be_columns(spark):
+    plain = tree(spark, "a/ a/b/ a/b/c.py d/ d/e.py z.py")
+    crowded = plain.select("*", *(F.concat(F.lit(f"{h} of "), "relpath").alias(h) for h in HELPERS))
+    known = spark.createDataFrame([("a/b", ["x"]), ("gone", ["y"])], "relpath string, comment array<string>").select("*", *(F.lit(h).alias(h) for h in HELPERS))
+
+    def same(df, kept=len(HELPERS)):
+        rows = df.collect()
+        assert rows and all(r[h] == f"{h} of {r['relpath']}" for r in rows for h in HELPERS)
+        return rows
+
+    assert len(same(layout.preorder(crowded))) == 6
+    assert len(same(layout.numbered(crowded, "relpath"))) == 6
+    assert len(same(layout.prefixed(layout.siblings(crowded)))) == 6
+    assert drawn(layout.render(crowded)) == drawn(layout.render(plain))
+    assert len(same(filters.visible(crowded, ignore_dirs=["d"], rules=ignore.parse_rules(["z.py"]), documented=known))) == 3
+    assert len(same(documented.attach(crowded, known))) == 6
+    assert sorted(map(tuple, documented.difference(crowded, known).collect())) == sorted(map(tuple, documented.difference(plain, known.select("relpath")).collect()))
+    text = lines(spark, "```\n├── a  <- b\n│   └── c\n```\n│\n│\nend\n## x\n\ny: z")
+    crowded = text.select("*", *(F.concat(F.lit(f"{h} of "), "line_no").alias(h) for h in HELPERS))
+    for op in (parse.fenced_blocks, parse.tree_block, parse.parse_tree, parse.make_help):
+        assert sorted(map(tuple, op(crowded).collect()), key=str) == sorted(map(tuple, op(text).collect()), key=str) != []
+    left = parse.collapse_spacers(crowded).collect()
+    assert len(left) == 9 and all(r[h] == f"{h} of {r['line_no']}" for r in left for h in HELPERS)
 
 
 def test_numbering(spark):
