@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import datetime
 import os
-import tempfile
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +13,9 @@ from pyspark.sql import functions as F
 from boughwork.functions.ignore import Rule, parse_rules
 from boughwork.operators import documented as docs
 from boughwork.operators import filters, layout, parse
-from boughwork.sources.directory import read_directory
+from boughwork.sources.directory import as_uri, read_directory, read_lines
 from boughwork.sources.scratch import settle
+from boughwork.sources.textfile import write_lines
 
 
 def _rules(root: str, use_gitignore: bool, mode: str) -> list[Rule]:
@@ -26,22 +26,10 @@ def _rules(root: str, use_gitignore: bool, mode: str) -> list[Rule]:
         return parse_rules(f.read().splitlines(), mode)
 
 
-def _write(path: str, text: str) -> None:
-    """One file, whole or not at all."""
-    handle, temporary = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(path)))
-    with os.fdopen(handle, "w", encoding="utf-8", newline="\n") as f:
-        f.write(text)
-    os.replace(temporary, path)
-
-
 def default_file(root: str) -> str:
     return os.path.join(root, f"directory_structure_{datetime.date.today():%Y-%m-%d}.md")
 
 
-def _lines(rendered: DataFrame) -> list[str]:
-    return [r["line"] for r in sorted(rendered.collect(), key=lambda r: r["ord"])]
-
-
 def _entries(spark: SparkSession, root: str, max_levels: int, extensions, ignore_dirs, use_gitignore: bool, documented: DataFrame | None, mode: str) -> DataFrame:
     dirs = filters.IGNORED_DIRS if ignore_dirs is None else tuple(ignore_dirs)
     found = read_directory(spark, root, max_levels, dirs)
@@ -55,7 +43,7 @@ def export_directory_tree(spark: SparkSession, root_dir: str, output_file: str |
         raise ValueError(f"not a directory: {root_dir}")
     output_file = output_file or default_file(root_dir)
     entries = _entries(spark, root_dir, max_levels, extensions, ignore_dirs, use_gitignore, None, mode)
-    _write(output_file, "```\n" + "\n".join(_lines(layout.render(entries, alignment_col))) + "\n```\n")
+    write_lines(layout.render(entries, alignment_col), output_file, "```\n", "```\n", empty="\n")
     return output_file
 
 
@@ -91,12 +79,10 @@ def update_directory_tree(spark: SparkSession, root_dir: str, md_file: str, exte
         raise FileNotFoundError(md_file)
     if not os.path.isdir(root_dir):
         raise ValueError(f"not a directory: {root_dir}")
-    with open(md_file, encoding="utf-8") as f:
-        text = f.read()
-    lines = parse.lines_of(spark.createDataFrame([(md_file, text)], "doc_id string, text string"))
+    lines = read_lines(spark, as_uri(md_file))
     new, difference = merge_tree(spark, lambda known: _entries(spark, root_dir, max_levels, extensions, ignore_dirs, use_gitignore, known, mode), lines, alignment_col)
     said = report(md_file, difference)
-    _write(md_file, "\n".join(_lines(new)) + "\n")
+    write_lines(new, md_file)
     return said
 
 

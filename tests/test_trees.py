@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from boughwork.functions import ignore, paths
 from boughwork.operators import documented, filters, layout, parse
 from boughwork.plans import documents, stages
-from boughwork.sources.directory import read_directory, read_lines
+from boughwork.sources import textfile
+from boughwork.sources.directory import expand, read_directory, read_lines
 
 
 def tree(spark, text):
@@ -454,11 +455,112 @@ def test_stage_reads_and_writes_its_files(spark, tmp_path):
     assert [where.of(n).relative_to(tmp_path).as_posix() for n in ("interim", "external", "models", "figures")] == ["data/interim", "data/external", "models", "reports/figures"]
 
 
+def test_stages_save_and_load_models_and_figures(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.sql.types import StructType
+
+    where = stages.Paths(tmp_path)
+    where.of("processed").mkdir(parents=True)
+    for name, text in (("features.csv", "id,x\n1,1\n2,2\n3,4\n"), ("labels.csv", "id,y\n1,2\n2,4\n3,8\n"), ("test_features.csv", "id,x\n7,10\n"), ("dataset.csv", "x\n1\n")):
+        (where.of("processed") / name).write_text(text)
+    schemas = {"features.csv": StructType.fromDDL("id int, x double"), "labels.csv": StructType.fromDDL("id int, y double"), "test_features.csv": StructType.fromDDL("id int, x double"), "dataset.csv": StructType.fromDDL("x int")}
+
+    def predicted():
+        (own,) = spark.read.csv(str(where.of("processed") / "test_predictions.csv"), header=True).collect()
+        return round(float(own["prediction"]), 6)
+
+    steps = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="v"), LinearRegression(featuresCol="v", labelCol="y")])
+    for _ in range(2):  # the second time over the first one's files
+        stages.STAGES["train"].run(spark, where, schemas, lambda x, y: steps.fit(x.join(y, "id")))
+        stages.STAGES["predict"].run(spark, where, schemas, lambda x, model: model.transform(x).select("id", "prediction"))
+        assert predicted() == 20.0
+    stages.STAGES["train"].run(spark, where, schemas, lambda x, y: {"factor": 3.0})
+    stages.STAGES["predict"].run(spark, where, schemas, lambda x, model: x.select("id", (F.col("x") * model["factor"]).alias("prediction")))
+    assert predicted() == 30.0
+    stages.STAGES["plots"].run(spark, where, schemas, lambda x: b"figure of %d" % x.count())
+    assert (where.of("figures") / "plot.png").read_bytes() == b"figure of 1"
+
+    class Figure:
+        def savefig(self, path, format):
+            with open(path, "w") as f:
+                f.write(format)
+            raise OSError("half way")
+
+    with pytest.raises(OSError):
+        stages.STAGES["plots"].run(spark, where, schemas, lambda x: Figure())
+    assert (where.of("figures") / "plot.png").read_bytes() == b"figure of 1"
+    assert not [p for p in tmp_path.rglob(".*") if not p.name.endswith(".crc")]
+
+
 def test_lines_of_files(spark, tmp_path):
-    (tmp_path / "a.txt").write_text("one\r\ntwo\n")
-    (tmp_path / "b.txt").write_text("")
+    texts = {"a.txt": "one\r\ntwo\n", "b.txt": "", "c.txt": "x\x0b\n\ry\u2028z\x0c", "d.txt": "x\x0b\n", "e.txt": "\n\n\r", "f.txt": "é\u0085\x1c\r\r\nend\r", "g.txt": "no end", "h.txt": "\ufeffx\ny", "i.txt": "\ufeffx\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
     got = read_lines(spark, str(tmp_path)).collect()
-    assert sorted((r["doc_id"].rpartition("/")[2], r["line_no"], r["text"]) for r in got) == [("a.txt", 0, "one"), ("a.txt", 1, "two")]
+    want = [(name, i, line) for name, text in texts.items() for i, line in enumerate(text.replace("\r\n", "\n").replace("\r", "\n").splitlines())]
+    assert sorted((r["doc_id"].rpartition("/")[2], r["line_no"], r["text"]) for r in got) == sorted(want)
+
+
+def test_lines_of_a_file_in_splits(spark, tmp_path):
+    text = [f"line {i} " + "é" * (i % 50) for i in range(20_000)]
+    (tmp_path / "big.txt").write_text("\r\n".join(text))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        assert spark.read.text(str(tmp_path), lineSep="\n").rdd.getNumPartitions() > 10
+        got = {r["line_no"]: r["text"] for r in read_lines(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == dict(enumerate(text))
+
+
+def test_one_file_of_many_tasks(spark, tmp_path):
+    target = tmp_path / "sub [1]" / "out.md"
+    target.parent.mkdir()
+    rows = spark.range(0, 20_000, 1, 9).select(F.col("id").alias("ord"), F.concat(F.lit("é "), "id").alias("line")).orderBy(F.rand(3))
+    for _ in range(2):
+        textfile.write_lines(rows, str(target), "head\n", "tail\n")
+        assert target.read_text().splitlines() == ["head", *(f"é {i}" for i in range(20_000)), "tail"]
+        assert os.listdir(target.parent) == ["out.md"]
+    failing = rows.withColumn("line", F.when(F.col("ord") == 15_000, F.raise_error(F.lit("no"))).otherwise(F.col("line")))
+    with pytest.raises(Exception):
+        textfile.write_lines(failing, str(target))
+    assert os.listdir(target.parent) == ["out.md"] and target.read_text().startswith("head")
+    textfile.write_lines(rows.limit(0), str(target), "a", "b", empty="-")
+    assert target.read_text() == "a-b"
+
+
+def test_listing_is_dealt_out(spark, tmp_path):
+    found = set()
+    for a in range(6):
+        for b in range(5):
+            (tmp_path / f"top/d{a}/e{b}").mkdir(parents=True)
+            for c in range(b):
+                (tmp_path / f"top/d{a}/e{b}/f{c}").write_text("")
+    (tmp_path / "top/d1/skip/x").mkdir(parents=True)
+    for folder, dirs, files in os.walk(tmp_path):
+        dirs[:] = [] if folder.endswith("skip") else dirs
+        found |= {os.path.relpath(os.path.join(folder, n), tmp_path) for n in dirs + files}
+    for tasks in (1, 4, 20, 1000):
+        for levels in range(6):
+            seen = read_directory(spark, str(tmp_path), levels, ("skip",), tasks)
+            assert names(seen) == sorted(p for p in found if p.count("/") < levels)
+            if levels == 5 and tasks > 1:
+                sizes = [len(p) for p in seen.rdd.glom().collect()]
+                assert len(sizes) == min(tasks, len(sizes)) > 3 and max(sizes) < len(found) / 2
+
+
+def test_expanding_ends_at_a_loop(spark):
+    rows = [("a", ""), ("b", "a"), ("c", "b"), ("a", "c"), ("d", "c"), ("x", "a"), ("d", "x"), ("far", "y"), ("", "d")]
+    table = spark.createDataFrame(rows, "id string, parent string")
+    got = sorted(tuple(r) for r in expand(table, "").collect())
+    assert got == [("a", "", 1), ("b", "a", 2), ("c", "b", 3), ("d", "x", 3), ("x", "a", 2)]
+    assert sorted(tuple(r) for r in expand(table, "", 2).collect()) == [r for r in got if r[2] <= 2]
+    assert expand(table, "", 0).count() == 0 and expand(table, "none").count() == 0
+    chain = spark.createDataFrame([(str(i + 1), str(i)) for i in range(12)], "id string, parent string")
+    assert sorted((int(r["id"]), r["depth"]) for r in expand(chain, "0").collect()) == [(i, i) for i in range(1, 13)]
 
 
 def test_entry(spark):
