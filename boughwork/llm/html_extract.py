@@ -12,7 +12,7 @@ import html as entities
 import math
 import random
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -69,35 +69,28 @@ def parse(page: str) -> Tree:
     mostly do: an svg or math element left open ends where only HTML can go on. Comments,
     scripts, styles and other raw text leave no text behind."""
     tree = Tree()
-    stack, open_tags = [0], Counter(["#root"])
+    stack, open_at = [0], defaultdict(list, {"#root": [0]})  # depths of the open elements of each tag
+    scopes, walls = [0], [0]  # depths of open containers, and of those that aren't table cells
+    foreign = [False]  # of each open element, whether what comes in it belongs to an svg or math element
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
-            open_tags[tree.tags[stack.pop()]] -= 1
+            tag = tree.tags[stack.pop()]
+            for depths in (open_at[tag], scopes, walls):
+                if depths and depths[-1] == len(stack):
+                    depths.pop()
+            foreign.pop()
 
     def close(kinds: Sequence[str]) -> None:
         """Close the nearest open element of these kinds, unless a container lies between."""
-        if not any(open_tags[k] for k in kinds):
-            return
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = tree.tags[stack[depth]]
-            if tag in kinds:
-                return pop_to(depth)
-            if tag in _SCOPE and not (tag in ("td", "th") and "tr" in kinds):
-                return None
-
-    def foreign() -> bool:
-        """Whether what comes next belongs to an svg or math element."""
-        if open_tags["svg"] or open_tags["math"]:
-            for i in reversed(stack):
-                if tree.tags[i] in _FOREIGN or tree.tags[i] in _HOLDS_HTML:
-                    return tree.tags[i] in _FOREIGN
-        return False
+        depth = max((open_at[k][-1] for k in kinds if open_at[k]), default=0)
+        if depth and (walls if "tr" in kinds else scopes)[-1] <= depth:
+            pop_to(depth)
 
     def body() -> None:
         """What a body holds may come without its start tag."""
         if len(stack) == 1 or tree.tags[stack[-1]] == "html":
-            if not open_tags["body"] and "body" not in tree.tags:
+            if not open_at["body"] and "body" not in tree.tags:
                 add("body", "", True)
 
     def add(tag: str, names: str, opens: bool) -> None:
@@ -105,8 +98,13 @@ def parse(page: str) -> Tree:
         tree.names.append(names)
         tree.parents.append(stack[-1])
         if opens:
+            open_at[tag].append(len(stack))
+            if tag in _SCOPE:
+                scopes.append(len(stack))
+                if tag not in ("td", "th"):
+                    walls.append(len(stack))
             stack.append(len(tree.tags) - 1)
-            open_tags[tag] += 1
+            foreign.append(tag in _FOREIGN or foreign[-1] and tag not in _HOLDS_HTML)
 
     at = 0
     while True:
@@ -125,17 +123,13 @@ def parse(page: str) -> Tree:
         if tag not in _INLINE:
             tree.texts.append((-1, " "))
         if found["end"]:
-            if open_tags[tag]:
-                depth = len(stack) - 1
-                while tree.tags[stack[depth]] != tag:
-                    depth -= 1
-                if tag not in _INLINE or not any(tree.tags[i] in _SCOPE for i in stack[depth + 1 :]):
-                    pop_to(depth)
+            if open_at[tag] and (tag not in _INLINE or scopes[-1] <= open_at[tag][-1]):
+                pop_to(open_at[tag][-1])
             continue
         if tag in _HTML_ONLY:
-            while foreign():
+            while foreign[-1]:
                 pop_to(len(stack) - 1)
-        inside = foreign()
+        inside = foreign[-1]
         if tag in _CLOSES_P:
             close(("p",))
         if tag in _SAME:
@@ -272,7 +266,7 @@ def labelled_pages(count: int = 160, seed: int = 3) -> list[tuple[str, list[int]
         if kind == "footer":
             return rng.choice((("footer", "", 0, ["&copy; " + words(2, 30)]), ("footer", "", 0, [("p", "", 0, [words(3, 30)]), links()]), ("div", name("footer", "copyright", "legal"), 0, [("p", "", 0, [words(3, 30)])])))
         if kind == "aside":
-            return rng.choice((("aside", "", 0, [("h3", "", 0, [words(1, 3)]), links()]), ("div", name("sidebar", "related", "widget"), 0, [("p", "", 0, [words(3, 30)])]), ("aside", "", 0, [("p", "", 0, [words(5, 40)])])))
+            return rng.choice((("aside", "", 0, [("h3", "", 0, [words(1, 3)]), links()]), ("div", name("sidebar", "related", "widget"), 0, [("p", "", 0, [words(3, 30)])]), ("aside", "", 0, [("p", "", 0, [words(5, 40)])]), ("aside", "", 0, [words(3, 40)]), ("aside", "", 0, [words(3, 20), (rng.choice(("a", "b", "span")), "", 0, [words(1, 5)]), words(1, 20)]), ("aside", "", 0, [(rng.choice(("div", "section", "blockquote", "ul")), "", 0, [("p", "", 0, [words(3, 30)])])])))
         if kind == "ad":
             return ("div", name("ad", "ads", "banner", "advert", "sponsored", "promo box", "ad-slot"), 0, rng.choice(([words(2, 40)], [("p", "", 0, [words(2, 40)])], [("a", "", 0, [words(2, 6)])])))
         if kind == "notice":
@@ -300,12 +294,12 @@ def labelled_pages(count: int = 160, seed: int = 3) -> list[tuple[str, list[int]
                 out.append(("blockquote", "", 1, [("p", "", 1, [words(3, 30)])]))
             elif kind < 0.88:
                 out.append((rng.choice(("h2", "h3")), "", 1, [words(1, 6)]))
-            elif kind < 0.92:
+            elif kind < 0.91:
                 out.append(("table", "", 1, [("tr", "", 1, [("td", "", 1, [words(1, 5)]) for _ in range(3)]) for _ in range(2)]))
-            elif kind < 0.96:
+            elif kind < 0.93:
                 out.append((rng.choice(("pre", "figure", "section")), "", 1, [words(3, 20)]))
             else:
-                out.append(noise(rng.choice(("ad", "aside", "notice"))))
+                out.append(noise(rng.choice(("ad", "aside", "aside", "notice"))))
         if rng.random() < 0.2:
             out[0] = ("header", "", 1, [out[0]])
         if rng.random() < 0.2:
@@ -346,7 +340,7 @@ def extract(pages: DataFrame, labelled: Sequence[tuple[str, Sequence[int]]] | No
     by default a built-in set. Deep nesting, cut-off pages, repeated rows, null ids and extra
     columns are fine; an empty table gives no rows.
     """
-    model = pages.sparkSession.sparkContext.broadcast(fit(labelled or labelled_pages()))
+    model = pages.sparkSession.sparkContext.broadcast(fit(labelled_pages() if labelled is None else labelled))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value

@@ -99,13 +99,13 @@ def _vote(keep: str, reject: str) -> Column:
 
 #: Each rule votes to keep (1), to reject (0) or abstains (null); rejection is tried first.
 RULES: dict[str, tuple[str, str]] = {
-    "symbols": ("n_words > 0 and 50 * n_symbols <= n_words", "5 * n_symbols > n_words"),
-    "repetition": ("n_words >= 20 and 20 * n_repeat_words <= n_words", "10 * n_repeat_words > 3 * n_words"),
-    "lines": ("n_lines >= 3 and n_dup_lines = 0", "n_lines >= 4 and 2 * n_dup_lines > n_lines"),
-    "capitals": ("n_letters > 0 and 5 * n_upper <= n_letters", "n_letters > 0 and 2 * n_upper > n_letters"),
-    "word_length": ("n_words > 0 and word_chars between 3 * n_words and 9 * n_words", "n_words > 0 and word_chars not between 2 * n_words and 14 * n_words"),
-    "closed_lines": ("n_lines > 0 and 2 * n_closed_lines >= n_lines", "n_lines >= 3 and 10 * n_closed_lines < n_lines"),
-    "letters": ("word_chars > 0 and 4 * n_letters >= 3 * word_chars", "word_chars > 0 and 2 * n_letters < word_chars"),
+    "symbols": ("n_words > 0 and 50 * n_symbols <= n_words", "10 * n_symbols > n_words"),
+    "repetition": ("n_words >= 20 and 20 * n_repeat_words <= n_words", "5 * n_repeat_words > n_words"),
+    "lines": ("n_lines >= 3 and n_dup_lines = 0", "n_lines >= 4 and 10 * n_dup_lines > 3 * n_lines"),
+    "capitals": ("n_letters > 0 and 8 * n_upper <= n_letters", "n_letters > 0 and 4 * n_upper > n_letters"),
+    "word_length": ("n_words > 0 and word_chars between 3 * n_words and 7 * n_words", "n_words > 0 and word_chars not between 2 * n_words and 12 * n_words"),
+    "closed_lines": ("n_lines > 0 and 10 * n_closed_lines >= 9 * n_lines", "n_lines >= 3 and 2 * n_closed_lines < n_lines"),
+    "letters": ("word_chars > 0 and 100 * n_letters >= 92 * word_chars", "word_chars > 0 and 8 * n_letters < 7 * word_chars"),
     "variety": ("n_words >= 50 and 10 * n_distinct >= 3 * n_words", "n_words >= 50 and 10 * n_distinct < n_words"),
 }
 

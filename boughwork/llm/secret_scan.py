@@ -247,7 +247,7 @@ def scan(docs: DataFrame, path: str | None = None, labelled: Sequence[tuple[str,
     train on, by default a built-in set. Null and empty texts have no candidates; repeated rows have
     theirs each time; extra columns are ignored; an empty table gives no rows.
     """
-    forest = docs.sparkSession.sparkContext.broadcast(train(labelled or labelled_findings()))
+    forest = docs.sparkSession.sparkContext.broadcast(train(labelled_findings() if labelled is None else labelled))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,16 +264,19 @@ def scan(docs: DataFrame, path: str | None = None, labelled: Sequence[tuple[str,
 
 
 def redact(docs: DataFrame, path: str | None = None, labelled: Sequence[tuple[str, str, int]] | None = None, mask: str = "<SECRET>") -> DataFrame:
-    """``docs`` with each secret in ``text`` replaced by ``mask``; all rows and columns stay."""
-    forest = docs.sparkSession.sparkContext.broadcast(train(labelled or labelled_findings()))
+    """``docs`` with each secret in ``text`` replaced by ``mask``; all rows and columns stay.
+    ``path`` and ``labelled`` are those of :func:`scan`."""
+    forest = docs.sparkSession.sparkContext.broadcast(train(labelled_findings() if labelled is None else labelled))
     names = docs.columns
     at_text, at_path = names.index("text"), names.index(path) if path else None
 
     def clean(text: str | None, where: object) -> str | None:
-        for start, end, _, score in reversed(judge(text, None if where is None else str(where), forest.value)):
+        pieces, at = [], 0
+        for start, end, _, score in judge(text, None if where is None else str(where), forest.value):
             if score >= 0.5:
-                text = text[:start] + mask + text[end:]
-        return text
+                pieces += [text[at:start], mask]
+                at = end
+        return "".join([*pieces, text[at:]]) if pieces else text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

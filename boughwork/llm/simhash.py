@@ -234,7 +234,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blo
     nodes = connected_components(links(least.select("fp"), radius, blocks)).withColumnRenamed("node", "fp")
     keep = least.join(nodes, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("row").alias("row"))
     # ids that are never null, so that one shuffle of the texts does for both repeats and the join
-    key = ["_unnamed", "_id", "_text_hash"]
+    key = ["unnamed", "id", "text_hash"]
     keep = keep.select(F.col("row.unnamed").alias(key[0]), F.coalesce("row.doc_id", F.lit(0)).alias(key[1]), F.col("row.text_hash").alias(key[2]))
-    named = docs.withColumns({key[0]: F.col("doc_id").isNull(), key[1]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), key[2]: F.xxhash64("text")})
-    return named.dropDuplicates(key).join(keep, key, "left_semi").select(*docs.columns)
+    named = docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias(key[0]), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(key[1]), F.xxhash64("text").alias(key[2]))
+    return named.dropDuplicates(key).join(keep, key, "left_semi").select("row.*")

@@ -129,8 +129,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] if not shards else 0
     count = shards or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
-    order = ["doc_id", "tie"]
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
+    order = ["doc_id", "tie", "at"]  # where a row lies parts equal rows
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("at"))
     ranged = rows.repartitionByRange(count, *order).sortWithinPartitions(*order).select("doc_id", "text")
     ranged.mapInArrow(_write(vocabulary or default_vocabulary(), end_id, block_ids, bit_planes), SCHEMA).write.parquet(path)
 

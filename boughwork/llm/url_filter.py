@@ -47,42 +47,49 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULE
 
 
 # What the built-in labelled urls are made of.
-_SYLLABLES = "ba ren tor li mon the sha tion er ing est ar vo ki du pel gra nos ter am".split()
-_USUAL_SUFFIXES = "com com com com org org net net edu gov de fr es co.uk io".split()
-_CHEAP_SUFFIXES = "top xyz click info biz win loan work icu online site club".split()
-
-
-def labelled_urls(count: int = 2000, seed: int = 11, syllables: Sequence[str] = _SYLLABLES) -> list[tuple[str, int]]:
-    """``(url, 1 to block)``, half of each kind. Names of both kinds are made of the same
-    syllables, so no word tells them apart: what does is the form that link farms, trackers
-    and dubious shops give their addresses (joined names, digits, cheap suffixes, deep paths,
-    long parameters), each trait in a part of them and now and then in the others too."""
+_WORDS = """bank paper river stone market garden music travel house sport kitchen school health light cloud
+bridge summer winter radio forum photo design energy animal planet hotel insurance doctor library camera
+berg wasser zeit haus stadt buch schule reise freund garten livre maison ville jour monde jardin casa
+libro mundo tienda coche noticias campo playa""".split()
+_USUAL_SUFFIXES = "com com com com org org net net edu gov de de fr es co.uk io ch at".split()
+_CHEAP_SUFFIXES = "top xyz click info biz win loan work icu online site club ru cn".split()
+_STEPS = "en de news blog shop about page index article archive wiki category images static download".split()
+
+
+def labelled_urls(count: int = 3000, seed: int = 11, words: Sequence[str] = tuple(_WORDS)) -> list[tuple[str, int]]:
+    """``(url, 1 to block)``, half of each kind, with names of the same words, joined by a hyphen
+    as often in both. What tells them apart is the form that link farms, trackers, phishing
+    pages and dubious shops give their addresses: cheap suffixes, digits, scrambled and long
+    names, many labels, deep and scrambled paths, many and long parameters. Of these traits a
+    url to block has two or more, any other one now and then."""
     rng = random.Random(seed)
 
-    def name(a: int, b: int) -> str:
-        return "".join(rng.choices(syllables, k=rng.randint(a, b)))
+    def noise(n: int, letters: str = _LOWER + "0123456789") -> str:
+        return "".join(rng.choices(letters, k=n))
+
+    def name(low: int, high: int) -> str:
+        return rng.choice(("", "", "-")).join(rng.choices(words, k=rng.randint(low, high)))
 
-    def noise(n: int) -> str:
-        return "".join(rng.choices(_LOWER + "0123456789", k=n))
+    def traits(bad: int) -> set[str]:
+        kinds = ["cheap", "digits", "scrambled", "long", "labels", "deep", "noisy", "parameters", "tail", "number"]
+        return set(rng.sample(kinds, rng.choice((2, 3, 3, 4)) if bad else rng.choice((0, 0, 0, 0, 1, 1))))
 
     out = []
     for i in range(count):
-        bad = i % 2
-        trait = [rng.random() < (share if bad else 0.03) for share in (0.6, 0.3, 0.4, 0.2, 0.3)]
-        joined, digits, cheap, scrambled, long_tail = trait
-        if bad and not any(trait):
-            joined = True
-        host = "-".join(name(1, 3) for _ in range(rng.choice((2, 2, 2, 3, 4)))) if joined else noise(rng.randint(10, 22)) if scrambled else name(2, 4)
-        host += str(rng.randrange(10000)) if digits else ""
-        host = rng.choice(("", "", "www.", "blog.", "m.", "")) + host + "." + rng.choice(("", "", name(2, 3) + "."))
-        host += rng.choice(_CHEAP_SUFFIXES if cheap else _USUAL_SUFFIXES)
-        steps = [rng.choice((name(1, 3), "en", "de", "page", str(rng.randrange(100_000)), f"{name(1, 2)}-{name(1, 2)}")) for _ in range(rng.randint(0, 4))]
-        if long_tail and rng.random() < 0.5:
-            steps += [noise(rng.randint(6, 16)) for _ in range(rng.randint(2, 6))]
-        tail = rng.choice(("", "", "", "?page=2&ref=x", "?utm_source=feed", "#top", "?id=" + str(rng.randrange(10**5))))
-        if long_tail:
-            tail = "?" + "&".join(f"{name(1, 1)}{rng.randrange(99)}={noise(rng.randint(4, 20))}" for _ in range(rng.randint(2, 7)))
-        out.append((f"{rng.choice(('http', 'https'))}://{host}/{'/'.join(steps)}{rng.choice(('', '/', '.html'))}{tail}", bad))
+        has = traits(i % 2)
+        host = noise(rng.randint(8, 24)) if "scrambled" in has else name(3, 6) if "long" in has else name(1, 2)
+        host += noise(rng.randint(2, 6), "0123456789") if "digits" in has else ""
+        front = [noise(rng.randint(2, 8)) if rng.random() < 0.5 else name(1, 1) for _ in range(rng.randint(2, 4))] if "labels" in has else rng.choice(([], [], ["www"], ["www"], ["blog"], ["m"], [name(1, 1)]))
+        host = ".".join([*front, host, rng.choice(_CHEAP_SUFFIXES if "cheap" in has else _USUAL_SUFFIXES)])
+        if "number" in has and rng.random() < 0.5:
+            host = ".".join(str(rng.randrange(1, 255)) for _ in range(4))
+        steps = [rng.choice((name(1, 2), rng.choice(_STEPS), rng.choice(_STEPS), str(rng.randrange(5000)))) for _ in range(rng.randint(5, 8) if "deep" in has else rng.choice((0, 0, 1, 1, 2, 2, 3, 4)))]
+        steps += ["-".join(rng.choices(words, k=rng.randint(3, 9)))] if rng.random() < (0.1 if i % 2 else 0.4) else []
+        steps += [noise(rng.randint(8, 18))] if "noisy" in has else []
+        steps += [noise(rng.randint(7, 13), "0123456789")] if "number" in has else []
+        asked = rng.randint(3, 8) if "parameters" in has else rng.choice((0, 0, 0, 1, 1, 2))
+        tail = "&".join(f"{rng.choice(_STEPS)}={noise(rng.randint(12, 24)) if 'tail' in has else noise(rng.randint(1, 4))}" for _ in range(max(asked, "tail" in has)))
+        out.append((f"{rng.choice(('http', 'https', 'https'))}://{host}/{'/'.join(steps)}{rng.choice(('', '', '/', '.html'))}{'?' * bool(tail)}{tail}{rng.choice(('', '', '', '#top'))}", i % 2))
     return out
 
 
@@ -138,12 +145,19 @@ def features(df: DataFrame, url: str, statistics: Statistics) -> DataFrame:
     return df.withColumns({k: v.cast("double") for k, v in found.items()}).drop("_whole", "_host", "_path", "_tail")
 
 
-def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int = 10, depth: int = 4) -> tuple[GBTClassificationModel, Statistics]:
+_fitted: dict[tuple, tuple[GBTClassificationModel, Statistics]] = {}
+
+
+def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int = 12, depth: int = 4) -> tuple[GBTClassificationModel, Statistics]:
     """Fit the trees on labelled urls, which are a bounded list of the caller's.
 
     The suffix statistics that a url trains with are those of the other half of the list, so
-    that they say no more about it than about urls to come; those returned are of all.
+    that they say no more about it than about urls to come; those returned are of all. A
+    session keeps the last model, for the next call with the same list.
     """
+    key = (spark.sparkContext.applicationId, tuple(labelled), trees, depth)
+    if key in _fitted:
+        return _fitted[key]
     halves = [[x for i, x in enumerate(labelled) if i // 2 % 2 == k] for k in (0, 1)]
     data = None
     for own, other in (halves, halves[::-1]):
@@ -153,18 +167,20 @@ def train(spark: SparkSession, labelled: Sequence[tuple[str, int]], trees: int =
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data.coalesce(1)).select("features", "label").cache()
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(data)
     data.unpersist()
-    return model, suffix_statistics(labelled)
+    _fitted.clear()
+    _fitted[key] = model, suffix_statistics(labelled)
+    return _fitted[key]
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled: Sequence[tuple[str, int]] | None = None) -> DataFrame:
     """``(page_id, host, path, rule, verdict, block_score)`` for each row of ``pages`` (page_id, url).
 
     The verdict is the longest fitting rule's, else block from a score of 0.5 by the trees.
-    ``labelled`` are (url, 1 to block); by default a built-in list. Null urls, and urls without
+    ``labelled`` are (url, 1 to block), of both kinds; by default a built-in list. Null urls, and urls without
     ``://``, have an empty host and path, fit no rule and are scored as empty hosts. Null
     page_ids, repeated rows and extra columns are fine; an empty table gives no rows.
     """
-    model, statistics = train(pages.sparkSession, labelled or labelled_urls())
+    model, statistics = train(pages.sparkSession, labelled_urls() if labelled is None else labelled)
     host, path, _ = parts_of(F.col("url"))
     rows = pages.select("page_id", F.col("url")).withColumns({"host": host, "path": path})
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(rows, "url", statistics))

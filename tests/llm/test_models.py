@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import unicodedata
 import zlib
 
@@ -132,13 +133,13 @@ def reference_votes(text):
         return 0 if reject else 1 if keep else None
 
     return (
-        vote(n > 0 and 50 * symbols <= n, 5 * symbols > n),
-        vote(n >= 20 and 20 * repeat <= n, 10 * repeat > 3 * n),
-        vote(len(lines) >= 3 and dup_lines == 0, len(lines) >= 4 and 2 * dup_lines > len(lines)),
-        vote(letters > 0 and 5 * upper <= letters, letters > 0 and 2 * upper > letters),
-        vote(n > 0 and 3 * n <= chars <= 9 * n, n > 0 and not 2 * n <= chars <= 14 * n),
-        vote(len(lines) > 0 and 2 * closed >= len(lines), len(lines) >= 3 and 10 * closed < len(lines)),
-        vote(chars > 0 and 4 * letters >= 3 * chars, chars > 0 and 2 * letters < chars),
+        vote(n > 0 and 50 * symbols <= n, 10 * symbols > n),
+        vote(n >= 20 and 20 * repeat <= n, 5 * repeat > n),
+        vote(len(lines) >= 3 and dup_lines == 0, len(lines) >= 4 and 10 * dup_lines > 3 * len(lines)),
+        vote(letters > 0 and 8 * upper <= letters, letters > 0 and 4 * upper > letters),
+        vote(n > 0 and 3 * n <= chars <= 7 * n, n > 0 and not 2 * n <= chars <= 12 * n),
+        vote(len(lines) > 0 and 10 * closed >= 9 * len(lines), len(lines) >= 3 and 2 * closed < len(lines)),
+        vote(chars > 0 and 100 * letters >= 92 * chars, chars > 0 and 8 * letters < 7 * chars),
         vote(n >= 50 and 10 * len({*words}) >= 3 * n, n >= 50 and 10 * len({*words}) < n),
     )
 
@@ -161,6 +162,16 @@ def test_posteriors_equal_a_computation_by_document(spark, sf_dir):
         assert got[doc]["kept"] == (not got[doc]["base_failed"] and want >= 0.5)
 
 
+def test_verdicts_reject_what_is_labelled_bad(spark):
+    """Labels are only looked at here: the rules and their weights never see them."""
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality is not null")
+    judged = quality_rules.quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("not base_failed").join(labels, "doc_id")
+    rate = {r["quality"]: (r["kept"], r["n"]) for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
+    assert rate[0][1] > 15 and rate[0][0] <= 0.5
+    assert rate[1][1] > 200 and rate[1][0] >= 0.98
+
+
 def test_estimates_find_good_and_bad_rules():
     rng = random.Random(1)
     counts = {}
@@ -183,10 +194,8 @@ def test_urls(spark):
         ("no scheme.net/", "", "", None, None),
         (None, "", "", None, None),
         ("", "", "", None, None),
-        ("http://casino-win.example.org/en", "casino-win.example.org", "/en", None, "block"),
-        ("http://m.ads-track.example.com/en/40021#top", "m.ads-track.example.com", "/en/40021", None, "block"),
-        ("http://thelibrary.example.org/en", "thelibrary.example.org", "/en", None, "allow"),
-        ("https://blog.tionble.example.com/en/39680.html", "blog.tionble.example.com", "/en/39680.html", None, "allow"),
+        ("http://x9f3k2q8z7v1m4.top/8d7f6a5b4c3e2d1f0a9b/?a=1&b=2&c=3&d=4", "x9f3k2q8z7v1m4.top", "/8d7f6a5b4c3e2d1f0a9b/", None, "block"),
+        ("http://www.public-library.org/en", "www.public-library.org", "/en", None, "allow"),
         ("http://" + "a" * 100000 + ".com/?" + "q=1&" * 9999, "a" * 100000 + ".com", "/", None, None),
     ]
     pages = spark.createDataFrame([(i, u[0]) for i, u in enumerate(urls)], "page_id long, url string").withColumn("host", F.lit(3)).withColumn("features", F.lit(3))
@@ -215,15 +224,35 @@ def test_hosts_paths_and_rules_equal_sql(spark, sf_dir):
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and (rule is None or r["verdict"] == verdict)
 
 
-def test_trees_judge_urls_of_unseen_words(spark):
+#: Written by hand: well-known hosts, with and without hyphens, and addresses as spam,
+#: trackers and phishing use them.
+ALLOWED = """https://www.merriam-webster.com/dictionary/word https://www.coca-cola.com/ https://www.mercedes-benz.de/passengercars.html
+https://www.t-online.de/nachrichten/ https://www.tu-berlin.de/en https://www.max-planck.org/ https://en.wikipedia.org/wiki/Spark
+https://www.bbc.co.uk/news/world https://github.com/apache/spark https://docs.python.org/3/library/re.html https://www.rolls-royce.com/about
+https://www.lemonde.fr/international/ https://elpais.com/cultura/ https://stackoverflow.com/questions/11227809/why-is-it-fast
+https://www.nytimes.com/section/science https://www.mit.edu/ https://spark.apache.org/docs/latest/ https://www.spiegel.de/kultur
+https://news.ycombinator.com/item?id=1 https://www.uni-heidelberg.de/de https://www.nasa.gov/missions https://www.yahoo.co.jp/""".split()
+BLOCKED = """http://192.168.4.7/a8f7d6e5c4b3a29180716253/x7k2.exe?id=83&s=1&t=2&u=99 http://win7788.top/8837492017364 http://xk29fjq81mzp3.xyz/a?b=1&c=2&d=3&e=4
+http://a1.b2.c3.login83.click/verify/98127349871 http://free4829.cards.poker.loan/9s8d7f98s7df98s7df/ http://trk.c7.a9x.biz/r?u=8s7df6s87df6s8d7f6&k=9876&z=q8w7e6&p=1
+http://qwzxkvjpt3829.info/aj2k3h4kj2h3k4jh2k3j4h2k3j4h http://update.secure.account.id8832.online/en/de/fr/a/b/c/d http://5.188.86.12/8d7f6g5h4j3k2l1/992837498
+http://bonus777.win/?click=982374982374&sub=ab12cd34ef&aff=77&src=99&cid=12 http://cdn8.x2.y3.zz91.club/9a8b7c6d5e4f3a2b1c0d/""".split()
+
+
+def test_trees_judge_urls_by_all_their_features(spark):
     model, statistics = url_filter.train(spark, url_filter.labelled_urls())
-    used = {name for name, x in zip(url_filter.FEATURES, model.featureImportances.toArray()) if x > 0.005}
-    assert {"hyphens", "digit_ratio", "entropy", "parameters", "suffix_odds"} <= used | {"host_digit_ratio"}
-    held_out = url_filter.labelled_urls(600, seed=99, syllables="wu zo fri kel bax ony hap mis ruf dac".split())
-    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(held_out)], "page_id long, url string")
-    got = {r["page_id"]: r["verdict"] for r in url_filter.url_verdicts(pages, rules=[]).collect()}
-    right = [(got[i] == "block") == bool(y) for i, (_, y) in enumerate(held_out)]
-    assert sum(right) >= 0.9 * len(right)
+    importance = dict(zip(url_filter.FEATURES, model.featureImportances.toArray()))
+    assert max(importance.values()) < 0.3 and sum(x > 0.02 for x in importance.values()) >= 6
+    held_out = url_filter.labelled_urls(600, seed=99, words="zebra violet copper window anchor mirror candle basket".split())
+    hosts = [(f"https://{name}.{suffix}/", 0) for name in ("example", "wikipedia", "amazon", "bahn", "spiegel", "lemonde") for suffix in ("com", "org", "de")]
+    told = [*((u, 0) for u in ALLOWED), *((u, 1) for u in BLOCKED), *held_out, *hosts]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(told)], "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.url_verdicts(pages, rules=[]).collect()}
+    right = [(got[i]["verdict"] == "block") == bool(y) for i, (_, y) in enumerate(told)]
+    n, m = len(ALLOWED), len(ALLOWED) + len(BLOCKED)
+    assert sum(right[:n]) >= n - 1 and sum(right[n:m]) >= len(BLOCKED) - 1, [u for (u, _), x in zip(told[:m], right) if not x]
+    assert all(x for u, x in zip(ALLOWED, right) if "-" in u.split("/")[2])
+    assert sum(right[m:]) >= 0.9 * len(right[m:])
+    assert len({round(got[i]["block_score"], 6) for i, (u, _) in enumerate(told) if "-" not in u.split("/")[2]}) > 50
 
 
 def test_secrets(spark, edges):
@@ -360,3 +389,39 @@ def test_attributes_and_bare_text():
     for page, want in pages.items():
         assert model.text(page) == want
     assert html_extract.parse('<p data-id=a ID="B c" class=d/e/ x>').names[1] == "b c d/e/"
+
+
+def test_deep_svg_and_unclosed_elements_take_linear_time():
+    model = html_extract.fit(html_extract.labelled_pages(40))
+    pages = [
+        "<svg>" + "<g>" * 100_000 + "<path/>" * 100_000,
+        "<svg>" + "<g>" * 100_000 + "<p>text of the page</p>" * 1000,
+        "<b>" + "<div>" * 50_000 + "</b>" * 50_000,
+        "<p>" + "<span>" * 50_000 + "<li>" * 50_000 + "</p>" * 50_000,
+    ]
+    for page in pages:
+        began = time.process_time()
+        html_extract.parse(page)
+        assert time.process_time() - began < 4
+    began = time.process_time()
+    model.text("<article><p>kept</p>" + "<svg>" * 20_000 + "<p>more of it")
+    assert time.process_time() - began < 6
+
+
+def test_asides_and_pages_without_article():
+    model = html_extract.fit(html_extract.labelled_pages())
+    body = "<h1>A title of some words</h1><p>The first paragraph has quite a few words in it, and then some more.</p>{}<p>The second one follows it and is about as long as the first.</p>"
+    plain = "A title of some words The first paragraph has quite a few words in it, and then some more. The second one follows it and is about as long as the first."
+    asides = ["<aside>buy this now, it is cheap</aside>", "<aside><p>Also read this other text here</p></aside>", "<aside><h3>More</h3><ul><li><a href=x>one</a></li></ul></aside>", "<aside>Ask <b>us</b> about <a href=y>prices</a> today</aside>", "<aside><div><p>Inside of boxes</p></div></aside>", "<aside><blockquote><p>A pulled quote of it</p></blockquote></aside>"]
+    for shell in ("<article>{}</article>", "<main>{}</main>", '<div class="content">{}</div>', '<div id="story">{}</div>'):
+        for aside in ("", *asides):
+            page = f"<html><head><title>t</title></head><body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>News</a></li></ul></nav>{shell.format(body.format(aside))}{aside}<footer>&copy; all of us</footer></body></html>"
+            assert model.text(page) == plain, (shell, aside)
+
+
+def test_many_secrets_take_linear_time(spark):
+    key = 'token = "1eb9c654e721b4f812088970e66a6345cee33dd6" and '
+    docs = spark.createDataFrame([(1, key * 100_000)], "doc_id long, text string")
+    began = time.time()
+    (row,) = secret_scan.redact(docs).collect()
+    assert time.time() - began < 40 and row["text"].count("<SECRET>") == 100_000 and "1eb9c654" not in row["text"]

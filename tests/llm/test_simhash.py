@@ -97,8 +97,8 @@ def test_texts_that_share_an_id_are_judged_each_on_its_own(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(200)) for x in "abcd")
     rows = [(1, a), (5, a), (5, b), (5, b), (7, c), (7, d), (8, d), (None, a), (None, "e"), (None, "e")]
     for order in (rows, rows[::-1]):
-        docs = spark.createDataFrame(order, "doc_id long, text string").withColumn("text_hash", F.lit(7))
+        docs = spark.createDataFrame(order, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("text_hash", "_id", "_unnamed", "_text_hash", "unnamed", "id", "row", "fp", "rep", "component", "node")})
         kept = simhash.drop_near_duplicates(docs)
-        assert kept.columns == docs.columns
+        assert kept.columns == docs.columns and all(r[c] == c for r in kept.collect() for c in docs.columns[2:])
         got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
         assert got == sorted([(1, a), (5, b), (7, c), (7, d), (None, "e")], key=str)
