@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +35,18 @@ def votes(labels: DataFrame, label: str, held_out: Column) -> DataFrame:
     return settle(own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) > 0.5).cast("int").alias("label")), "votes")
 
 
-def one_text(rows: DataFrame, *keep: str) -> DataFrame:
-    """A row for each doc_id, with its text, of several that of the smallest hash; ``keep``
-    are columns that depend on doc_id alone."""
-    return rows.groupBy("doc_id", *keep).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+def one_text(rows: DataFrame, *keep: str, more: Sequence[str] = ()) -> DataFrame:
+    """A row for each doc_id, with its text, of several that of the smallest hash, and ``more``
+    of that row; ``keep`` are columns that depend on doc_id alone."""
+    row = F.min_by(F.struct("text", *more), F.struct(F.xxhash64("text"), *more)).alias("row")
+    return rows.groupBy("doc_id", *keep).agg(row).select("doc_id", *keep, "row.*")
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int) -> DataFrame:
-    """``(doc_id, text, label 0/1)`` of about ``rows`` documents labelled outside the held-out
-    fold. The labels chosen are few, so they are broadcast."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """``(doc_id, text, label 0/1, *more)`` of about ``rows`` documents labelled outside the
+    held-out fold. The labels chosen are few, so they are broadcast."""
+    more = more or {}
     own = votes(labels, label, held_out)
     own = own.where(low(rows, own.count(), "doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return one_text(texts.join(F.broadcast(own), "doc_id"), "label").select("doc_id", "text", "label")
+    texts = docs.select(F.col("doc_id").cast("long"), "text", *(c.alias(n) for n, c in more.items()))
+    return one_text(texts.join(F.broadcast(own), "doc_id"), "label", more=list(more)).select("doc_id", "text", "label", *more)

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from boughwork.llm.common import labelled
 from boughwork.llm.words import NORMAL, buckets, sigmoid
@@ -146,12 +147,21 @@ def fit(columns: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray,
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, metadata: Sequence[str] = (), max_labelled: int = 6000, bits: int = 17) -> Model:
+def _named(metadata: Sequence[Column]) -> dict[str, Column]:
+    return {f"metadata{i}": m.cast("string") for i, m in enumerate(metadata)}
+
+
+def size_of(docs: DataFrame) -> list[Column]:
+    """Metadata of documents: the power of two that their ``n_chars`` reaches, if they have it."""
+    return [F.floor(F.log2(F.greatest(F.col("n_chars").cast("double"), F.lit(1.0))))] if "n_chars" in docs.columns else []
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, metadata: Sequence[Column] = (), max_labelled: int = 6000, bits: int = 17) -> Model:
     """Fit on about ``max_labelled`` documents labelled outside the held-out fold; their
-    features, not their texts, reach the driver."""
-    chosen = labelled(docs, labels, label, held_out, max_labelled)
-    if metadata:
-        chosen = chosen.join(docs.select("doc_id", *metadata).dropDuplicates(["doc_id"]), "doc_id")
+    features, not their texts, reach the driver. ``metadata`` are expressions over ``docs``,
+    whose values count as words; of several rows of a doc_id those of the chosen text's."""
+    named = _named(metadata)
+    chosen = labelled(docs, labels, label, held_out, max_labelled, named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,13 +172,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, meta
                 ["label", "columns", "amounts"],
             )
 
-    rows = chosen.select("text", "label", *metadata).mapInArrow(run, "label int, columns binary, amounts binary").collect()
+    rows = chosen.select("text", "label", *named).mapInArrow(run, "label int, columns binary, amounts binary").collect()
     rows.sort(key=lambda r: bytes(r["columns"]))  # training doesn't depend on the order of tasks
     columns = [np.frombuffer(r["columns"], "<i4").astype(np.int64) for r in rows]
     return fit(columns, [np.frombuffer(r["amounts"], "<f4").astype(np.float64) for r in rows], np.array([r["label"] for r in rows], np.float64), bits)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], metadata: Sequence[str] = ()) -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: list[str], metadata: Sequence[Column] = ()) -> DataFrame:
     """``keep`` columns and ``score`` (0 to 1) of each whole text; null texts count as empty."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     n = len(keep)
@@ -181,17 +191,18 @@ def score(docs: DataFrame, model: Model, keep: list[str], metadata: Sequence[str
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(sigmoid(np.concatenate([*margins, np.zeros(0)])))], [*keep, "score"])
 
     schema = docs.select(*keep).schema.add("score", "double")
-    return docs.select(*keep, "text", *metadata).mapInArrow(run, schema)
+    return docs.select(*keep, "text", *(c.alias(n) for n, c in _named(metadata).items())).mapInArrow(run, schema)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", threshold: float = 0.7, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", threshold: float = 0.7, keep: Sequence[str] = ("doc_id",), metadata: Sequence[Column] | None = None) -> DataFrame:
     """``keep`` columns, ``score`` and ``predicted`` (1 from ``threshold``) for each row of ``docs``.
 
-    The inputs of a score are the text's words and shape; ``train`` and ``score`` also take
-    metadata columns. Repeated rows, null ids and extra columns are fine; an empty table gives
+    The inputs of a score are the text's words and shape, and ``metadata``, by default
+    :func:`size_of`. Repeated rows, null ids and extra columns are fine; an empty table gives
     no rows.
     """
-    scored = score(docs, train(docs, labels, label, held_out), list(keep))
+    metadata = size_of(docs) if metadata is None else metadata
+    scored = score(docs, train(docs, labels, label, held_out, metadata), list(keep), metadata)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -201,15 +212,17 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, held_out: Column, label
     Rows are judged where they lie, each on its own, so null ids, repeated rows and columns
     of any name are fine; an empty table gives no rows.
     """
-    held = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, held_out))
-    at = docs.columns.index("text")
+    metadata = size_of(docs)
+    held = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, held_out, metadata))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
-                margins = own.margins(*own.rows(part.column(at).to_pylist(), [()] * part.num_rows))
-                yield part.filter(pa.array(sigmoid(margins) >= threshold))
+                text, *more = (part.column(k).to_pylist() for k in range(1, part.num_columns))
+                margins = own.margins(*own.rows(text, [*zip(*more)] if more else [()] * part.num_rows))
+                yield part.select([0]).filter(pa.array(sigmoid(margins) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = docs.select(F.struct("*").alias("row"), "text", *(c.alias(n) for n, c in _named(metadata).items()))
+    return rows.mapInArrow(run, StructType([rows.schema["row"]])).select("row.*")

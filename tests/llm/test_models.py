@@ -73,6 +73,21 @@ def test_majority_of_labels_and_smallest_text_train(spark):
     assert docs.select(fold(F.col("doc_id"), 5).alias("f")).where("f = -1").count() == 1
 
 
+def test_metadata_counts_and_is_the_chosen_texts_own(spark):
+    rows = [(i, "the same words in all of them", i % 2) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind int").withColumns({"row": F.lit(1), "metadata0": F.lit(2)})
+    labels = docs.select("doc_id", F.col("kind").alias("quality"))
+    scored = quality_fm.quality_scores(docs, labels, F.lit(False), metadata=[F.col("kind")], keep=["doc_id", "kind", "row"])
+    assert {(r["kind"], r["score"] > 0.5, r["row"]) for r in scored.collect()} == {(0, False, 1), (1, True, 1)}
+    assert len({r["score"] for r in quality_fm.quality_scores(docs, labels, F.lit(False)).collect()}) == 1
+    sized = docs.withColumn("n_chars", F.when(F.col("kind") == 1, 5000).when(F.col("doc_id") != 4, 10))
+    left = quality_fm.drop_low_quality(sized, labels, F.lit(False), threshold=0.5)
+    assert left.columns == sized.columns and {r["doc_id"] for r in left.collect()} - {4} == {*range(1, 300, 2)}
+    twice = spark.createDataFrame([(1, "b", "x"), (1, "a", "y"), (1, "a", "z"), (2, None, None)], "doc_id long, text string, m string")
+    chosen = [labelled(t, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"), "quality", F.lit(False), 10, {"m": F.col("m")}).collect() for t in (twice, twice.orderBy(F.desc("m")))]
+    assert sorted(chosen[0]) == sorted(chosen[1]) and {(r["text"], r["m"]) for r in chosen[0]} <= {("a", "y"), ("b", "x"), (None, None)}
+
+
 def test_non_negative_risk_turns_when_negative():
     p, u = np.array([2.0, 3.0]), np.array([-9.0, -9.0])
     risk, by_p, by_u = toxicity.non_negative_risk(p, u, 0.5)
