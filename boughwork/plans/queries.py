@@ -211,6 +211,24 @@ def parse_roundtrip(spark, sf_dir):
     return parse.parse_tree(lines).select("relpath", F.array_join("comment", "|").alias("comment"))
 
 
+def parse_duplicates(spark, sf_dir):
+    """Of the entries of a brand's block, one for each part in its size's name, the last counts."""
+    part = _table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size")
+    text = F.concat(F.lit("├── size "), "p_size", F.lit("  <- part "), "p_partkey", F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("\n         and key "), "p_partkey")).otherwise(F.lit("")))
+    lines = part.select(F.col("p_brand").alias("doc_id"), "p_partkey", F.posexplode(F.split(text, "\n")).alias("pos", "text"))
+    lines = lines.select("doc_id", (2 * F.col("p_partkey") + F.col("pos")).alias("line_no"), "text")
+    return parse.parse_tree(lines).select("doc_id", "relpath", F.array_join("comment", "|").alias("comment"))
+
+
+def tree_document(spark, sf_dir):
+    """A fenced document for each region, its lines joined."""
+    entries = geo(spark, sf_dir)
+    rendered = layout.render(entries, key=F.substring_index("relpath", "/", 1))
+    lines = F.array_sort(F.collect_list(F.struct("ord", "line")))
+    text = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
+    return rendered.groupBy(F.col("key").alias("region")).agg(F.concat(F.lit("```\n"), text, F.lit("\n```\n")).alias("document"))
+
+
 def lines_explode(spark, sf_dir):
     return parse.lines_of(_table(spark, sf_dir, "documents")).select("doc_id", "line_no", "text")
 
@@ -260,7 +278,7 @@ def make_help(spark, sf_dir):
 
 
 _NAMES = """tree_preorder tree_is_last tree_spacers tree_prefix tree_render tree_render_comments tree_depth_limit tree_recursive_expand filter_ext
-filter_names filter_prune ignore_last_match ignore_git ignore_escapes ignore_many documented_bypass comment_attach diff_found diff_added diff_removed diff_counts diff_ordered parse_roundtrip
+filter_names filter_prune ignore_last_match ignore_git ignore_escapes ignore_many documented_bypass comment_attach diff_found diff_added diff_removed diff_counts diff_ordered parse_roundtrip parse_duplicates tree_document
 lines_explode collapse_runs fence_pairs first_block splice set_diff make_help""".split()
 
 
@@ -320,6 +338,8 @@ blocks AS (SELECT doc_id, (n - 1) // 2 AS pair, min(line_no) FILTER (WHERE fence
         "diff_counts": f"WITH {_GEO}, {_KNOWN}, s AS (SELECT CASE WHEN known.comment IS NOT NULL THEN 'found' ELSE 'added' END AS status FROM geo LEFT JOIN known USING (relpath) UNION ALL SELECT 'removed' FROM known ANTI JOIN geo USING (relpath)) SELECT status, count(*) AS n, count(*) - 1 AS last_ord FROM s GROUP BY status",
         "diff_ordered": f"WITH {_GEO}, {_KNOWN}, s AS (SELECT relpath, CASE WHEN comment IS NOT NULL THEN 'found' ELSE 'added' END AS status, {_KEY} AS k FROM geo LEFT JOIN known USING (relpath)) SELECT relpath AS path, status, row_number() OVER (PARTITION BY status ORDER BY k) - 1 AS ord FROM s UNION ALL SELECT relpath, 'removed', row_number() OVER (ORDER BY relpath) - 1 FROM known ANTI JOIN geo USING (relpath)",
         "parse_roundtrip": f"WITH {_GEO}, {_KNOWN} SELECT relpath, coalesce(array_to_string(comment, '|'), '') AS comment FROM geo LEFT JOIN known USING (relpath)",
+        "parse_duplicates": "SELECT p_brand AS doc_id, 'size ' || p_size AS relpath, 'part ' || max(p_partkey) || CASE WHEN max(p_partkey) % 3 = 0 THEN '|and key ' || max(p_partkey) ELSE '' END AS comment FROM part GROUP BY p_brand, p_size",
+        "tree_document": f"WITH {_GEO}, {geo_arranged}, {_PREFIXED}, rendered AS (SELECT p[1] AS region, {_KEY} AS k, unnest(range(0, len({lines}))) AS pos, unnest({lines}) AS line FROM prefixed) SELECT region, '```' || chr(10) || string_agg(line, chr(10) ORDER BY k, pos) || chr(10) || '```' || chr(10) AS document FROM rendered GROUP BY region",
         "lines_explode": f"WITH {_FENCED} SELECT doc_id, line_no, raw AS text FROM lines",
         "collapse_runs": f"WITH {_FENCED}, n AS (SELECT *, lead(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS nx FROM fenced) SELECT doc_id, line_no, text FROM n WHERE NOT regexp_full_match(text, '[│ ]*') OR (nx IS NOT NULL AND NOT regexp_full_match(nx, '[│ ]*'))",
         "fence_pairs": f"{pairs} SELECT doc_id, start_line, end_line, has_tree FROM blocks",
