@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from boughwork.llm.common import scratch_path, settle
 
 #: Bytes of an archive before the next one begins; lines of an index block; bytes that one
-#: range read spans at most; rows that a task hands over at once.
-_ARCHIVE, _LINES, _SPAN, _BATCH = 1 << 30, 1000, 8 << 20, 2000
+#: range read spans at most; bytes that a task reads, about; rows that it hands over at once.
+_ARCHIVE, _LINES, _SPAN, _READ, _BATCH = 1 << 30, 1000, 8 << 20, 64 << 20, 2000
 #: The WARC format's words for a revisit of an equal payload.
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CAPTURE = "key string, page_id long, file string, offset long, length long"
@@ -280,12 +280,14 @@ def _read(folder: str):
 @dataclass
 class Archive:
     """Archives and their capture index. ``files``: of each index file the first and the last
-    key and its name, in order; a few bytes for what a whole task has sorted."""
+    key and its name, in order; a few bytes for what a whole task has sorted. ``bytes`` is the
+    size of all records."""
 
     spark: SparkSession
     archives: str
     indexes: str
     files: list[tuple[str, str, str]]
+    bytes: int
 
     def captures(self, urls: DataFrame, url: str = "url") -> DataFrame:
         """``(key, page_id, file, offset, length)`` of the captures of each distinct key of
@@ -311,8 +313,9 @@ class Archive:
     def records(self, captures: DataFrame) -> DataFrame:
         """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of captures, by
         range reads in the order of the archives; neighbours are read together."""
-        order = ("file", "offset")
-        dealt = captures.select("file", "offset", "length").repartitionByRange(*order).sortWithinPartitions(*order)
+        order, cores = ("file", "offset"), self.spark.sparkContext.defaultParallelism
+        parts = max(1, -(-self.bytes // _READ), min(cores, self.bytes >> 20))  # by what they lead to, not by their own size
+        dealt = captures.select("file", "offset", "length").repartitionByRange(parts, *order).sortWithinPartitions(*order)
         return dealt.mapInArrow(_read(self.archives), _RECORD)
 
 
@@ -330,7 +333,8 @@ def write_archive(pages: DataFrame, least_bytes: int = 100, date: str | None = N
     order = ("key", "page_id", "file", "offset")
     sorted_lines = captures.repartitionByRange(*order).sortWithinPartitions(*order)
     files = settle(sorted_lines.mapInArrow(_index(indexes), "first string, last string, file string"), "files")
-    return Archive(spark, archives, indexes, sorted((r["first"], r["last"], r["file"]) for r in files.collect()))
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return Archive(spark, archives, indexes, sorted((r["first"], r["last"], r["file"]) for r in files.collect()), size)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
