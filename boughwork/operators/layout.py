@@ -189,13 +189,14 @@ def render(entries: DataFrame, alignment_col: int = 30, key: Column | None = Non
 
     A spacer line stands before an entry that follows a directory. The first comment line is
     aligned; the others follow on lines of their own. ``key``, an expression over an entry's
-    columns, is added to its lines as ``key``.
+    columns, is added to its lines as ``key``. A null relpath is an empty name; repeated rows
+    are siblings; an empty table has no lines.
     """
     none = F.array().cast("array<string>")
     comment = F.coalesce("comment", none) if "comment" in entries.columns else none
     own = entries.select("relpath", "is_dir", comment.alias("comment"), *([] if key is None else [key.alias("key")]))
     walked = _walk(own, F.greatest(F.size("comment"), F.lit(1))).select("row.*", F.col("line").alias("at"), "is_last", "spacer", "prefix")
-    name = paths.name_of(F.col("relpath"))
+    name = F.coalesce(paths.name_of(F.col("relpath")), F.lit(""))
     head = F.concat("prefix", F.when(F.col("is_last"), ELBOW).otherwise(TEE), name)
     first = F.get("comment", F.lit(0))
     pad = F.repeat(F.lit(" "), F.greatest(F.lit(2), F.lit(alignment_col) - F.length(head)))

@@ -38,8 +38,9 @@ def spacer(line: Column) -> Column:
 
 
 def _parts(lines: DataFrame, key: str, **more: Column) -> DataFrame:
-    """``(k, n, part, *more)``: the key, the line's number, and its part of the text."""
-    own = lines.select(F.col(key).alias("k"), F.col("line_no").alias("n"), *(c.alias(name) for name, c in more.items()))
+    """``(k, n, part, *more)``: the key, the line's number, and its part of the text. Lines
+    without a number are left out."""
+    own = lines.where("line_no is not null").select(F.col(key).alias("k"), F.col("line_no").alias("n"), *(c.alias(name) for name, c in more.items()))
     return own.withColumn("part", F.floor(F.col("n") / _LINES))
 
 
@@ -63,7 +64,7 @@ def _running(parts: DataFrame, value: str, total: str, itself: bool = True) -> D
 
 def collapse_spacers(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """Of each run of spacer lines the last stays; those at the end go."""
-    rows = _parts(lines, key, blank=spacer(F.col("text")), row=F.struct("*"))
+    rows = _parts(lines, key, blank=F.coalesce(spacer(F.col("text")), F.lit(True)), row=F.struct("*"))
     firsts = rows.groupBy("k", "part").agg(F.min_by("blank", "n").alias("blank"))
     firsts = firsts.select("k", "part", F.lead("blank").over(Window.partitionBy("k").orderBy("part")).alias("blank")).where("blank is not null")
     following = F.lead("blank").over(Window.partitionBy("k", "part").orderBy(F.asc_nulls_last("n")))

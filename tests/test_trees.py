@@ -225,6 +225,21 @@ def test_long_texts_are_read_in_parts(spark, monkeypatch):
         assert sorted(map(tuple, parse.collapse_spacers(table).collect()), key=str) == left
 
 
+def test_nulls_repeated_rows_and_empty_tables(spark):
+    rows = [(None, True), ("a", None), ("a", True), ("a/b", False), ("a/b", False), ("", False)]
+    entries = spark.createDataFrame(rows, "relpath string, is_dir boolean")
+    assert drawn(layout.render(entries)) == ["├── ", "│", "├── a", "├── a", "│   ├── b", "│   └── b", "│", "└── "]
+    text = spark.createDataFrame([(None, 0, "├── a"), (None, 1, None), (1, None, "├── b"), (1, 5, "```"), (1, 7, "```")], "doc_id int, line_no int, text string")
+    assert [tuple(r) for r in parse.parse_tree(text).collect()] == [(None, "a", [])]
+    assert [tuple(r) for r in parse.fenced_blocks(text).collect()] == [(1, 5, 7, False)]
+    assert [r["text"] for r in parse.collapse_spacers(text).collect()] == ["├── a", "```", "```"]
+    known = spark.createDataFrame([("a", ["x"]), (None, ["n"]), ("q", [])], "relpath string, comment array<string>")
+    for op in (layout.preorder, layout.siblings, layout.render, filters.visible, lambda e: filters.prune(e, e), lambda e: documented.attach(e, known.limit(0)), lambda e: documented.difference(e, known.limit(0))):
+        assert op(entries.limit(0)).count() == 0 and op(entries).count() >= 5
+    for op in (parse.parse_tree, parse.fenced_blocks, parse.collapse_spacers, parse.make_help, parse.tree_block):
+        assert op(text.limit(0)).count() == 0
+
+
 def test_the_plan_of_parsing_does_not_grow_with_depth(spark):
     def size(depth):
         text = "\n".join("    " * d + f"└── n{d}" for d in range(depth))
