@@ -1,8 +1,10 @@
+import math
 import random
 import re
 import time
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from boughwork.llm import html_extract, quality_fm, quality_rules, queries, secret_scan, toxicity, url_filter
 from boughwork.llm.common import fold, labelled
+from boughwork.llm.words import normal_words
 
 EDGES = [(1, ""), (2, None), (3, " \n\t "), (None, "some text here"), (4, "same row"), (4, "same row"), (5, "long word " * 20000)]
 
@@ -440,3 +443,52 @@ def test_many_secrets_take_linear_time(spark):
     began = time.time()
     (row,) = secret_scan.redact(docs).collect()
     assert time.time() - began < 40 and row["text"].count("<SECRET>") == 100_000 and "1eb9c654" not in row["text"]
+
+
+def test_scores_equal_a_plain_computation(spark, sf_dir):
+    """op1 and op10: every score of the table again, word by word and pair by pair."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in docs.collect()}
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, labels, "toxic", held_out)
+    for r in toxicity.score(docs, model, ["doc_id"]).collect():
+        total, square = 0.0, 0.0
+        for word, n in Counter(normal_words(texts[r["doc_id"]][0])).items():
+            starts = {word[:k] for k in (4, 5, 6, 8) if len(word) >= k}
+            mask = (1 << model.bits) - 1
+            own = zlib.crc32(word) & mask
+            buckets = [own, *{(zlib.crc32(x) & mask) + mask + 1 for x in starts}]
+            total += n * sum(float(model.weights[b]) * float(model.idf[b]) for b in buckets)
+            square += (n * float(model.idf[own])) ** 2
+        margin = model.bias + total / math.sqrt(square) if square else model.empty
+        assert abs(r["score"] - 1 / (1 + math.exp(-margin))) < 1e-4
+    size = quality_fm.size_of(docs)
+    model = quality_fm.train(docs, labels, "quality", fold(F.col("doc_id"), 4) == 2, size)
+    got = {r["doc_id"]: r["score"] for r in quality_fm.score(docs, model, ["doc_id"], size).collect()}
+    for doc in list(texts)[:40]:
+        text, n_chars = texts[doc]
+        column, value = quality_fm.features(text, [str(int(math.log2(max(1, n_chars))))], model.bits)
+        value = model.scale(value)
+        pairs = sum(float(model.factors[a] @ model.factors[b]) * value[i] * value[i + 1 + j] for i, a in enumerate(column[:60]) for j, b in enumerate(column[i + 1 :]))
+        rest = column[60:]
+        for i, a in enumerate(rest):
+            pairs += float(((model.factors[rest[i + 1 :]] @ model.factors[a]) * value[60 + i + 1 :]).sum() * value[60 + i])
+        margin = model.bias + float((model.linear[column] * value).sum()) + pairs
+        assert abs(got[doc] - 1 / (1 + math.exp(-margin))) < 1e-3
+
+
+def test_findings_scores_equal_a_walk_down_each_tree(spark, sf_dir):
+    forest = secret_scan.train(secret_scan.labelled_findings())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: (r["text"], r["source"]) for r in docs.collect()}
+    found = secret_scan.scan(docs, "source").collect()
+    assert found
+    for r in found:
+        x = secret_scan.features(texts[r["doc_id"]][0], r["start"], r["end"], r["pattern"], texts[r["doc_id"]][1])
+        votes = []
+        for feature, threshold, left, share in forest.trees:
+            node = 0
+            while feature[node] >= 0:
+                node = left[node] + int(x[feature[node]] > threshold[node])
+            votes.append(share[node])
+        assert abs(r["score"] - sum(votes) / len(votes)) < 1e-9 and r["is_secret"] == (r["score"] >= 0.5)

@@ -42,9 +42,12 @@ def test_unlike_norms_ties_and_many_parts(spark, monkeypatch, scale):
     rows += [(400 + i, rows[10][1], i % 2) for i in range(40)]  # copies: ties in score
     rows = [(i, [float(x) for x in v], y) for i, v, y in rows]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    found = hard_negatives.hard_negatives(table.repartition(5), F.col("vec_id") % 10 == 0)
     want = brute(rows, lambda i: i % 10 == 0)
-    assert got(found) == want and len(want) > 500
+    whole = hard_negatives.NormIndex
+    for part_rows in (262_144, 20):
+        monkeypatch.setattr(hard_negatives, "NormIndex", lambda rows: whole(rows, part_rows))
+        found = hard_negatives.hard_negatives(table.repartition(5), F.col("vec_id") % 10 == 0)
+        assert got(found) == want and len(want) > 500
 
 
 def test_parts_of_small_norm_are_left_out(spark, monkeypatch):

@@ -1,7 +1,15 @@
+import zlib
+
+import numpy as np
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from boughwork.llm import decontaminate, simhash
+from boughwork.llm import decontaminate, quality_fm, secret_scan, simhash
+from boughwork.llm.common import fold
+from boughwork.llm.tokens import default_vocabulary
+from tests.llm.test_decontaminate import brute
+from tests.llm.test_simhash import brute_components, brute_fingerprint
 
 
 def test_stages_hold_to_their_operators(spark, sf_dir):
@@ -49,3 +57,35 @@ def test_null_ids_are_filtered_by_content(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert [tuple(r) for r in pipeline.decontaminated(spark, docs, sf_dir).collect()] == rows[3:]
     assert sorted(map(tuple, pipeline.near_duplicates(spark, docs, sf_dir).collect()), key=str) == sorted([(7, item), rows[3]], key=str)
+
+
+def test_run_equals_plain_stages(spark, sf_dir):
+    """Each stage's decisions taken plainly, one after the other, on the same table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "benchmark"))
+    held_out = fold(F.col("doc_id"), 4) == 2
+    good = {r["doc_id"] for r in quality_fm.quality_scores(docs, labels, held_out).where("score >= 0.7").collect()}
+    rows = {r["doc_id"]: (r["text"], r["source"]) for r in docs.collect() if r["doc_id"] in good}
+    alone = set(brute_components({d: brute_fingerprint(t) for d, (t, _) in rows.items()}).values())
+    judged = brute([(d, rows[d][0]) for d in sorted(alone)], [(r["item_id"], r["text"]) for r in bench.collect()])
+    kept = [d for d, *_, bad in judged if not bad]
+    forest = secret_scan.train(secret_scan.labelled_findings())
+    ids = Tokenizer.from_file(default_vocabulary())
+    want = {}
+    for d in kept:
+        text, source = rows[d]
+        for start, end, _, score in reversed(secret_scan.judge(text, source, forest)):
+            text = text[:start] + "<SECRET>" + text[end:] if score >= 0.5 else text
+        own = np.array([*ids.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        want[d] = (len(own), own.tobytes())
+    pieces = {}
+    for r in pipeline.run(spark, sf_dir).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert pieces.keys() == want.keys()
+    for d, own in pieces.items():
+        at = 0
+        for r in sorted(own, key=lambda r: r["start"]):
+            piece = want[d][1][4 * at : 4 * (at + r["length"])]
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, want[d][0], zlib.crc32(piece))
+            at += r["length"]
+        assert at == want[d][0]
