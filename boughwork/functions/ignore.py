@@ -10,9 +10,10 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import takewhile
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: More rules than this are matched by a :class:`RuleSet`.
@@ -187,12 +188,41 @@ def git_regex(rule: Rule, below: str = "(?:/.*)?") -> str:
     return f"(?s)^{out}{below}$"
 
 
+class _Shapes:
+    """Patterns by the letters that they end or begin with, so that few are tried for a name."""
+
+    def __init__(self) -> None:
+        self._tails: dict[str, list] = {}
+        self._heads: dict[str, list] = {}
+        self._sizes: tuple[set[int], set[int]] = (set(), set())
+
+    def add(self, head: str, tail: str, item: object) -> None:
+        table, key, sizes = (self._heads, head, self._sizes[1]) if len(head) > len(tail) else (self._tails, tail, self._sizes[0])
+        table.setdefault(key, []).append(item)
+        sizes.add(len(key))
+
+    def of(self, whole: str, starts: tuple[int, ...] = (0,)) -> Iterator[object]:
+        """What ``whole``, or what begins at one of ``starts`` in it, may match."""
+        for n in self._sizes[0]:
+            if n <= len(whole):
+                yield from self._tails.get(whole[len(whole) - n :], ())
+        for n in self._sizes[1]:
+            for at in starts:
+                yield from self._heads.get(whole[at : at + n], ())
+
+
+def _letters(part: list[str]) -> str:
+    """The letters of the steps up to the first that isn't one."""
+    return "".join(step[-1] for step in takewhile(lambda step: len(step) == 1 or len(step) == 2 and step[0] == "\\", part))
+
+
 class _Node:
     """Where a walk over a path's components stands: what a next component may lead to."""
 
     def __init__(self, loops: bool = False) -> None:
         self.names: dict[str, _Node] = {}
-        self.shapes: dict[str, tuple[re.Pattern, _Node]] = {}
+        self.shapes: dict[str, _Node] = {}
+        self.by_letters = _Shapes()
         self.loops = loops  # any component leads back here
         self.span: _Node | None = None  # the node of a ``**`` that follows
         self.ends: tuple[int, int] = (-1, -1)  # the last rule that ends here, for all and for directories
@@ -201,18 +231,21 @@ class _Node:
         if _spans(part):
             self.span = self.span or _Node(loops=True)
             return self.span
-        if all(len(step) == 1 or len(step) == 2 and step[0] == "\\" for step in part):
-            return self.names.setdefault("".join(step[-1] for step in part), _Node())
+        head = _letters(part)
+        if len(head) == len(part):
+            return self.names.setdefault(head, _Node())
         shape = _component(part)
-        return self.shapes.setdefault(shape, (re.compile(f"(?s:{shape})"), _Node()))[1]
+        if shape not in self.shapes:
+            self.shapes[shape] = _Node()
+            self.by_letters.add(head, _letters(part[::-1])[::-1], (re.compile(f"(?s:{shape})"), self.shapes[shape]))
+        return self.shapes[shape]
 
 
 class RuleSet:
     """Rules in one structure; :meth:`last` gives the place of the last that matches.
 
-    In ``git`` mode a trie over components, whose wildcards are tried once for each name. In
-    ``simple`` mode a table of the literal rules, looked up by a path's tails, one of ``*`` and
-    a literal by endings, and expressions for the others, from the last backwards.
+    In ``git`` mode a trie over components, in ``simple`` mode a table of the literal rules,
+    looked up by a path's tails. Wildcards are tried where the letters at their ends fit.
     """
 
     def __init__(self, rules: list[Rule], mode: str):
@@ -230,22 +263,17 @@ class RuleSet:
         return root
 
     @cached_property
-    def _tables(self) -> tuple[dict, dict, dict, list]:
-        whole, tails, endings, others = {}, {}, {}, []
+    def _tables(self) -> tuple[dict, dict, _Shapes]:
+        whole, tails, shapes = {}, {}, _Shapes()
         for i, rule in enumerate(self._rules):
-            literal = not re.search(r"[*?\[]", rule.pattern)
-            ending = rule.pattern[:1] == "*" and not re.search(r"[*?\[]", rule.pattern[1:])
-            if literal or ending:
-                table, key = (endings, rule.pattern[1:]) if ending else (whole if rule.anchored else tails, rule.pattern)
-                old = table.get(key, (-1, -1))
-                table[key] = (old[0], i) if rule.dir_only else (i, old[1])
+            found = re.search(r"(?s)^([^*?\[]*)[*?\[].*?([^*?\]]*)$", rule.pattern)
+            if found:
+                shapes.add(found[1], found[2], (i, rule.dir_only, re.compile(simple_regex(rule).removesuffix("$"))))
             else:
-                others.append((i, rule.dir_only, re.compile(simple_regex(rule).removesuffix("$"))))
-        return whole, tails, endings, others[::-1]
-
-    @cached_property
-    def _sizes(self) -> list[int]:
-        return sorted({len(e) for e in self._tables[2]})
+                table = whole if rule.anchored else tails
+                old = table.get(rule.pattern, (-1, -1))
+                table[rule.pattern] = (old[0], i) if rule.dir_only else (i, old[1])
+        return whole, tails, shapes
 
     @cached_property
     def _seen(self) -> dict[int, dict[str, list[_Node]]]:
@@ -256,7 +284,7 @@ class RuleSet:
         if name not in known:
             if len(known) > 100_000:
                 known.clear()
-            known[name] = [*filter(None, [node.names.get(name)]), *(n for shape, n in node.shapes.values() if shape.fullmatch(name))]
+            known[name] = [*filter(None, [node.names.get(name)]), *(n for shape, n in node.by_letters.of(name) if shape.fullmatch(name))]
         return known[name]
 
     def last(self, path: str, is_dir: bool) -> int:
@@ -282,27 +310,18 @@ class RuleSet:
                     yield node.ends[1]
 
     def _simple(self, path: str, is_dir: bool) -> Iterator[int]:
-        whole, tails, endings, others = self._tables
-
-        def of(table: dict[str, tuple[int, int]], key: str) -> int:
-            plain, folder = table.get(key, (-1, -1))
-            return max(plain, folder if is_dir else -1)
-
-        found = of(whole, path)
-        at = 0
-        while True:
-            found = max(found, of(tails, path[at:]))
-            at = path.find("/", at) + 1
-            if not at:
-                break
-        found = max([found, *(of(endings, path[len(path) - n :]) for n in self._sizes if n <= len(path))])
-        for i, dir_only, shape in others:
-            if i < found:
-                break
+        whole, tails, shapes = self._tables
+        starts = (0, *(i + 1 for i, c in enumerate(path) if c == "/"))
+        for table, keys in ((whole, [path]), (tails, [path[at:] for at in starts])):
+            for key in keys:
+                plain, folder = table.get(key, (-1, -1))
+                yield plain
+                if is_dir:
+                    yield folder
+        for i, dir_only, shape in sorted(shapes.of(path, starts), key=lambda x: -x[0]):
             if (is_dir or not dir_only) and shape.fullmatch(path):
-                found = i
+                yield i
                 break
-        yield found
 
 
 def ignored(path: Column, is_dir: Column, rules: list[Rule], mode: str = "git") -> Column:
@@ -324,11 +343,14 @@ def ignored(path: Column, is_dir: Column, rules: list[Rule], mode: str = "git")
 
 
 def _by_set(path: Column, is_dir: Column, rules: list[Rule], mode: str) -> Column:
-    held = RuleSet(rules, mode)
+    """A worker compiles the rules once, whatever number of tasks it runs."""
+    held = SparkSession.active().sparkContext.broadcast(RuleSet(rules, mode))
+    negated = [r.negate for r in rules]
 
     @F.pandas_udf("boolean")
     def judge(paths: pd.Series, dirs: pd.Series) -> pd.Series:
-        found = (held.last(p, bool(d)) if p is not None else -1 for p, d in zip(paths, dirs))
-        return pd.Series([i >= 0 and not held._rules[i].negate for i in found], dtype=bool)
+        last = held.value.last
+        found = (last(p, bool(d)) if p is not None else -1 for p, d in zip(paths, dirs))
+        return pd.Series([i >= 0 and not negated[i] for i in found], dtype=bool)
 
     return judge(path, is_dir)
