@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -200,26 +201,32 @@ class NormIndex:
         ``high``) of each anchor its first ``k`` rows of the same label, itself left out, or of
         different labels; by falling score, then by id (null last).
 
-        Two waves: the buckets of the largest norms give each window a kth score; an anchor
-        then goes to the parts that can still reach it or its lower limit.
+        The buckets of the largest norms give each window a kth score; an anchor then goes to
+        the parts that can still reach it or its lower limit. Of many parts, about the root of
+        their number comes first, whose kth scores spare the others most of their answers.
         """
         own = settle(self.anchors(anchors), "anchors")
-        n = own.count()
-        slices = max(1, -(-n // _SLICE))
+        n, parts = own.count(), len(self.tops)
         seed = (F.col("part") == 0) & (F.col("bucket") < _SEEDS)
-        spread = lambda parts: F.pmod(F.xxhash64("at"), F.lit(parts))
-        first = self._run(self.packed.where(seed).withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))), own.withColumn("group", spread(slices)), slices, k, same_label)
-        first = settle(_first(first, k), "first")
-        kth = first.where(F.col("rank") == k).groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct("window", "score"))).alias("kth"))
-        known = F.when(F.col("kth").isNull(), F.col("low")).otherwise(F.transform("low", lambda low, w: F.greatest(low, F.coalesce(F.element_at("kth", w), low))))
-        rest = own.join(kth, "at", "left").withColumn("low", known).drop("kth")
-        reached = F.size(F.filter(F.lit(self.tops).cast("array<double>"), lambda top: F.col("norm") * top * (1 + 1e-9) + 1e-6 >= F.array_min("low")))
+        spread = lambda slices: F.pmod(F.xxhash64("at"), F.lit(slices))
+        each = lambda first, last: F.explode(F.sequence(first.cast("long"), last.cast("long")))
+        slices = max(1, -(-n // _SLICE))
+        found = self._run(self.packed.where(seed).withColumn("group", each(F.lit(0), F.lit(slices - 1))), own.withColumn("group", spread(slices)), slices, k, same_label)
+        found = settle(_first(found, k), "first")
         slices = max(1, -(-n // max(self.part_rows, _SLICE)))
-        part = F.explode(F.filter(F.sequence(F.lit(0), F.greatest(reached, F.lit(1)) - 1), lambda p: p < reached))
-        rest = rest.withColumn("_part", part).withColumn("group", F.col("_part") * slices + spread(slices))
-        buckets = self.packed.where(~seed).withColumn("group", F.explode(F.sequence(F.col("part").cast("long") * slices, F.col("part").cast("long") * slices + slices - 1)))
-        second = self._run(buckets, rest, len(self.tops) * slices, k, same_label)
-        return _first(first.drop("rank").unionByName(second), k).select("at", "window", "rank", "score", "found_at", "found_id")
+        buckets = self.packed.where(~seed).withColumn("group", each(F.col("part") * slices, F.col("part") * slices + slices - 1))
+        cuts = [0, math.isqrt(parts), parts] if parts > 8 else [0, parts]
+        for begin, end in zip(cuts, cuts[1:]):
+            kth = found.where(F.col("rank") == k).groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct("window", "score"))).alias("kth"))
+            known = F.when(F.col("kth").isNull(), F.col("low")).otherwise(F.transform("low", lambda low, w: F.greatest(low, F.coalesce(F.element_at("kth", w), low))))
+            rest = own.join(kth, "at", "left").withColumn("low", known).drop("kth")
+            reached = F.size(F.filter(F.lit(self.tops[:end]).cast("array<double>"), lambda top: F.col("norm") * top * (1 + 1e-9) + 1e-6 >= F.array_min("low")))
+            part = F.explode(F.filter(F.sequence(F.lit(begin), F.greatest(reached, F.lit(begin + 1)) - 1), lambda p: p < reached))
+            rest = rest.withColumn("part_of", part).withColumn("group", F.col("part_of") * slices + spread(slices))
+            own_buckets = buckets.where((F.col("part") >= begin) & (F.col("part") < end))
+            more = self._run(own_buckets, rest, parts * slices, k, same_label)
+            found = settle(_first(found.drop("rank").unionByName(more), k), "found")
+        return found.select("at", "window", "rank", "score", "found_at", "found_id")
 
 
 def hard_negatives(embeddings: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 10, low_percent: int = 30, high_percent: int = 90, label: Column | None = None) -> DataFrame:
@@ -240,7 +247,7 @@ def hard_negatives(embeddings: DataFrame, is_anchor: Column, positives: int = 5,
     index = NormIndex(rows)
     chosen = rows.withColumnRenamed("id", "vec_id").where(F.coalesce(is_anchor, F.lit(False))).withColumnRenamed("vec_id", "id")
     whole = lambda x: F.array(F.lit(x).cast("long"))
-    near = settle(index.best(chosen.withColumns({"low": whole(_LEAST), "high": whole(_MOST)}), positives, True), "positives")
+    near = index.best(chosen.withColumns({"low": whole(_LEAST), "high": whole(_MOST)}), positives, True)
     near = near.where("score >= 0").withColumns({"low": F.expr(f"({low_percent} * score + 99) div 100"), "high": F.expr(f"{high_percent} * score div 100")})
     windows = near.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("rank", "found_id", "score", "low", "high"))).alias("positive"))
     windows = settle(chosen.join(windows, "at").select("at", "id", "label", "vector", "norm", "positive"), "windows")
