@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from boughwork.operators.layout import BLANK, numbered
+from boughwork.sources.scratch import settle
 
 _BREAK = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
 _GROUPS = "^(?:│   |    )*"
@@ -53,8 +54,10 @@ def _with(rows: DataFrame, given: DataFrame) -> DataFrame:
 def _running(parts: DataFrame, value: str, total: str, itself: bool = True) -> DataFrame:
     """Adds the sum of ``value`` over a text's lines so far, with or without the line itself.
 
-    Sums run within parts, before which stands a row with the sum of the parts before.
+    Sums run within parts, before which stands a row with the sum of the parts before. Rows are
+    read for both, so they, which hold no texts, are written once.
     """
+    parts = settle(parts, "parts")
     sums = parts.groupBy("k", "part").agg(F.sum(value).alias(value))
     before = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("k", "part", F.sum(value).over(before).alias(value)).where(F.col(value).isNotNull())
